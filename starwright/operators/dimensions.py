@@ -76,35 +76,43 @@ def time_dimension(
     return stamps.withColumns(calendar_parts(F.col(name), weekday_encoding))
 
 
-def surrogate_key(df: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:
-    """Add ids 1..n in the order of ``keys``, without a single-partition sort.
+def numbered(df: DataFrame, id_column: str, start: int = 1) -> DataFrame:
+    """Add gapless ids from ``start`` on, in the order the rows stand in.
 
-    The rows are range-partitioned and sorted by the keys and written once, so
-    that ids cannot change between consumers. A row's id is its place in its
-    range plus the number of rows in the ranges before it; the only data that
-    comes together in one task is one row count per range.
+    The rows are written once, so that ids cannot change between consumers. A
+    row's id is its place in its partition plus the number of rows in the
+    partitions before it; the only data that comes together in one task is one
+    row count per partition.
     """
-    place = F.monotonically_increasing_id()
-    ranges = written(
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_range", F.shiftright(place, 33))
-        .withColumn("_place", place.bitwiseAND(F.lit((1 << 33) - 1))),
-        f"ranges-{id_column}",
+    place = F.monotonically_increasing_id()  # partition number above bit 33, place below
+    rows = written(
+        df.withColumn("_part", F.shiftright(place, 33)).withColumn(
+            "_place", place.bitwiseAND(F.lit((1 << 33) - 1))
+        ),
+        f"numbered-{id_column}",
     )
-    before = F.sum("_size").over(Window.orderBy("_range")) - F.col("_size")
+    before = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")
     offsets = (
-        ranges.groupBy("_range")
+        rows.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_range", before.alias("_offset"))
+        .select("_part", before.alias("_offset"))
     )
     return (
-        ranges.join(F.broadcast(offsets), "_range")  # one row per range, at most the partition count
-        .withColumn(id_column, (F.col("_offset") + F.col("_place") + 1).cast("long"))
-        .drop("_range", "_place", "_offset")
+        rows.join(F.broadcast(offsets), "_part")  # one row per partition of the write
+        .withColumn(id_column, F.col("_offset") + F.col("_place") + F.lit(start).cast("long"))
+        .drop("_part", "_place", "_offset")
     )
 
 
+def surrogate_key(df: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:
+    """Add ids 1..n in the order of ``keys``, without a single-partition sort.
+
+    Range partitioning puts the keys in order across partitions, a local sort
+    within them; ``numbered`` does the rest.
+    """
+    return numbered(df.repartitionByRange(*keys).sortWithinPartitions(*keys), id_column)
+
+
 def dimension_with_id(df: DataFrame, column: str, id_column: str) -> DataFrame:
     """Distinct non-null values of a column with ids 1..n in natural order."""
     values = with_keys(df.select(column), [column]).distinct()

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starwright.operators.dimensions import numbered
 from starwright.operators.intervals import interval_slice, semimonthly_bounds
 from starwright.operators.merges import merged_rows, rows_to_insert
 from starwright.sinks.files import laid_out
@@ -125,11 +126,7 @@ def upsert_update(
 
 
 def append_with_serial(df: DataFrame, table: str, serial: str) -> None:
-    """Append rows under increasing ids above those in the table.
-
-    Ids are unique but, like a warehouse's identity column, may have gaps: they
-    come from a row's task and place in it, so a large fact needs no shuffle.
-    """
+    """Append rows under gapless ids that go on from the greatest in the table."""
     last = df.sparkSession.table(table).agg(F.max(serial).alias("last")).first()["last"]
-    place = F.monotonically_increasing_id() + F.lit((last or 0) + 1)
-    append(df.select(place.alias(serial), "*"), table)
+    rows = numbered(df, serial, (last or 0) + 1)
+    append(rows.select(serial, *df.columns), table)
