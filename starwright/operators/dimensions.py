@@ -32,9 +32,16 @@ def distinct_dimension(df: DataFrame, columns: Columns) -> DataFrame:
 
 
 def ranked_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Columns
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    columns: Columns,
+    *,
+    drop_null_keys: bool = True,
 ) -> DataFrame:
-    """The first row per key in the given order; rows with a null key are dropped.
+    """The first row per key in the given order.
+
+    Rows with a null key are dropped, or else count as one more key.
 
     ``order`` should spell out null placement and end in a tiebreak. Spark
     limits each key to one row per input task before the shuffle, so a key
@@ -42,7 +49,8 @@ def ranked_per_key(
     """
     names = list(columns)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    ranked = with_keys(df, keys).withColumn("_rank", rank)
+    rows = with_keys(df, keys) if drop_null_keys else df
+    ranked = rows.withColumn("_rank", rank)
     return pick(ranked.filter(F.col("_rank") == 1).select(*names), columns)
 
 
@@ -52,9 +60,12 @@ def latest_per_key(
     latest_by: str,
     columns: Columns,
     tiebreak: Sequence[Column] = (),
+    *,
+    drop_null_keys: bool = True,
 ) -> DataFrame:
     """The row with the greatest ``latest_by`` per key (nulls count as oldest)."""
-    return ranked_per_key(df, keys, [F.col(latest_by).desc_nulls_last(), *tiebreak], columns)
+    order = [F.col(latest_by).desc_nulls_last(), *tiebreak]
+    return ranked_per_key(df, keys, order, columns, drop_null_keys=drop_null_keys)
 
 
 def time_dimension(

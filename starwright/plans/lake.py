@@ -29,8 +29,11 @@ def artists(catalog: DataFrame) -> DataFrame:
 
 
 def plays(log: DataFrame) -> DataFrame:
-    """Plays with their time as a timestamp."""
-    return only_plays(log).withColumn("timestamp", from_epoch_ms(F.col("ts")))
+    """Plays with their time as a timestamp, and the columns the tables need."""
+    return only_plays(log).select(
+        from_epoch_ms(F.col("ts")).alias("timestamp"), "userId", "firstName", "lastName",
+        "gender", "level", "artist", "song", "length", "sessionId", "location", "userAgent",
+    )
 
 
 def users(played: DataFrame) -> DataFrame:
@@ -41,6 +44,7 @@ def users(played: DataFrame) -> DataFrame:
         "timestamp",
         ["userId", "firstName", "lastName", "gender", "level"],
         [F.col("level").desc_nulls_last(), F.col("sessionId").desc_nulls_last()],
+        drop_null_keys=False,
     )
 
 
@@ -74,11 +78,18 @@ def build(
     """
     catalog = written(read_json(spark, songs_path, SONG, recursive=True), "catalog")
     played = written(plays(read_json(spark, log_path, ACTIVITY_LOG, recursive=True)), "plays")
-    by_month = ["year", "month"]
-    write_parquet(songs(catalog), f"{output}/songs", partition_by=song_partitions)
-    write_parquet(artists(catalog), f"{output}/artists", max_files=small_table_files)
-    write_parquet(users(played), f"{output}/users", max_files=small_table_files)
-    write_parquet(time(played), f"{output}/time", partition_by=by_month)
-    write_parquet(songplays(played, catalog), f"{output}/songplays", partition_by=by_month)
-    names = ("songs", "artists", "users", "time", "songplays")
-    return {name: spark.read.parquet(f"{output}/{name}") for name in names}
+    by_month = {"partition_by": ["year", "month"]}
+    small = {"max_files": small_table_files}
+    tables = {
+        "songs": (songs(catalog), {"partition_by": song_partitions}),
+        "artists": (artists(catalog), small),
+        "users": (users(played), small),
+        "time": (time(played), by_month),
+        "songplays": (songplays(played, catalog), by_month),
+    }
+    for name, (table, layout) in tables.items():
+        write_parquet(table, f"{output}/{name}", **layout)
+    return {
+        name: spark.read.schema(table.schema).parquet(f"{output}/{name}")
+        for name, (table, _) in tables.items()
+    }

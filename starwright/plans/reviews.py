@@ -159,6 +159,6 @@ def build(
             partition_by=["year"], keep_partition_columns=True,
         )
     return {
-        name: read_json(spark, f"{output}/{name}.json", table.schema)
+        name: read_json(spark, f"{output}/{name}.json", table.schema).select(*table.columns)
         for name, table in tables.items()
     }

@@ -13,6 +13,7 @@ def laid_out(
     partition_by: Sequence[str] = (),
     max_files: int | None = None,
     cluster_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
 ) -> DataFrame:
     """Distribute rows for a write.
 
@@ -22,12 +23,13 @@ def laid_out(
     data. ``max_files`` repartitions at the end instead of narrowing the stages
     before it, so only the write itself runs with that little parallelism.
     """
-    columns = [*partition_by, *cluster_by]
+    together = [*partition_by, *cluster_by]
     if max_files is not None:
         df = df.repartition(max_files)
-    elif columns:
-        df = df.hint("rebalance", *columns)
-    return df.sortWithinPartitions(*columns) if cluster_by else df
+    elif together:
+        df = df.hint("rebalance", *together)
+    order = list(dict.fromkeys([*together, *sort_by])) if cluster_by or sort_by else []
+    return df.sortWithinPartitions(*order) if order else df
 
 
 def _writer(
@@ -35,13 +37,14 @@ def _writer(
     partition_by: Sequence[str],
     max_files: int | None,
     cluster_by: Sequence[str],
+    sort_by: Sequence[str],
     keep_partition_columns: bool,
     mode: str,
 ) -> DataFrameWriter:
     if keep_partition_columns:
         df = df.withColumns({f"{name}p": F.col(name) for name in partition_by})
         partition_by = [f"{name}p" for name in partition_by]
-    writer = laid_out(df, partition_by, max_files, cluster_by).write.mode(mode)
+    writer = laid_out(df, partition_by, max_files, cluster_by, sort_by).write.mode(mode)
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
@@ -52,15 +55,20 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     max_files: int | None = None,
     cluster_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
     keep_partition_columns: bool = False,
     mode: str = "overwrite",
 ) -> None:
     """Parquet files, optionally partitioned, bounded in number, or clustered.
 
+    ``cluster_by`` brings equal values together, sorted by them and then by
+    ``sort_by``, with bloom filters that let a lookup by them skip row groups.
     ``keep_partition_columns`` partitions by copies (``yearp`` for ``year``),
     so that the columns themselves stay in the files.
     """
-    _writer(df, partition_by, max_files, cluster_by, keep_partition_columns, mode).parquet(path)
+    writer = _writer(df, partition_by, max_files, cluster_by, sort_by, keep_partition_columns, mode)
+    blooms = {f"parquet.bloom.filter.enabled#{name}": "true" for name in cluster_by}
+    writer.options(**blooms).parquet(path)
 
 
 def write_json(
@@ -73,7 +81,7 @@ def write_json(
     mode: str = "overwrite",
 ) -> None:
     """JSON lines, with the same layout options."""
-    _writer(df, partition_by, max_files, (), keep_partition_columns, mode).json(path)
+    _writer(df, partition_by, max_files, (), (), keep_partition_columns, mode).json(path)
 
 
 def write_csv(
@@ -86,5 +94,5 @@ def write_csv(
 ) -> None:
     """CSV with a header, every field quoted and inner quotes doubled."""
     chosen = df.select(*columns) if columns else df
-    writer = _writer(chosen, (), max_files, (), False, mode)
+    writer = _writer(chosen, (), max_files, (), (), False, mode)
     writer.options(header=True, quoteAll=True, quote='"', escape='"').csv(path)

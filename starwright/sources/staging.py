@@ -21,8 +21,11 @@ def map_fields(df: DataFrame, fields: Sequence[tuple[str, str]]) -> DataFrame:
 
 def _coerced(df: DataFrame, field: T.StructField, width: int | None) -> Column:
     value, source, target = F.col(field.name), df.schema[field.name].dataType, field.dataType
+    from_text = isinstance(source, T.StringType) and not isinstance(target, T.StringType)
+    if from_text:
+        value = F.nullif(value, F.lit(""))
     if isinstance(target, T.DecimalType) and target.scale == 0:
-        if isinstance(source, T.StringType):
+        if from_text:
             value = value.cast("decimal(38,10)")
         value = truncate_toward_zero(value).cast(target)
     elif isinstance(target, T.TimestampType) and isinstance(source, T.NumericType):
@@ -40,8 +43,9 @@ def coerce_to_schema(
     """Cast to the target's columns as a warehouse bulk load does.
 
     Whole-number decimals drop the fraction instead of rounding, numbers going
-    into timestamps are epoch milliseconds, and columns named in ``widths``
-    are cut to that many characters. Every other cast is strict.
+    into timestamps are epoch milliseconds, empty text is null in a column
+    that is not text, and columns named in ``widths`` are cut to that many
+    characters. Every other cast is strict.
     """
     widths = widths or {}
     return df.select(*[_coerced(df, field, widths.get(field.name)) for field in target.fields])
