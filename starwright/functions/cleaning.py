@@ -34,7 +34,7 @@ def python_flags(text: Column, names: Sequence[str]) -> Column:
     schema = T.StructType([T.StructField(name, T.BooleanType()) for name in names])
     as_json = F.regexp_replace(text, r"\b[uU](?=['\"])", "")
     for literal, value in (("True", "true"), ("False", "false"), ("None", "null")):
-        as_json = F.regexp_replace(as_json, rf"\b{literal}\b", value)
+        as_json = F.replace(as_json, F.lit(literal), F.lit(value))
     return F.from_json(as_json, schema, {"allowSingleQuotes": "true"})
 
 

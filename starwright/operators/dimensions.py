@@ -125,6 +125,10 @@ def surrogate_key(df: DataFrame, keys: Sequence[str], id_column: str) -> DataFra
 
 
 def dimension_with_id(df: DataFrame, column: str, id_column: str) -> DataFrame:
-    """Distinct non-null values of a column with ids 1..n in natural order."""
+    """Distinct non-null values of a column with ids 1..n in natural order.
+
+    The dimension comes back as a written table: joins to it see its true size
+    and broadcast it, or not, by that.
+    """
     values = with_keys(df.select(column), [column]).distinct()
-    return surrogate_key(values, [column], id_column)
+    return written(surrogate_key(values, [column], id_column), f"dimension-{id_column}")

@@ -52,8 +52,9 @@ def build(spark: SparkSession, csv_path: str, output: str) -> dict[str, DataFram
     the source files; the concatenated CSV goes out beside the tables.
     """
     log = with_artist(read_csv(spark, csv_path, ACTIVITY_CSV, with_load_order=True))
-    write_csv(log, f"{output}/events_csv", columns=ACTIVITY_CSV_KEPT)
-    rows = written(typed(log), "events")
+    kept = written(log.select(*ACTIVITY_CSV_KEPT, LOAD_ORDER), "events")
+    write_csv(kept, f"{output}/events_csv", columns=ACTIVITY_CSV_KEPT)
+    rows = typed(kept)
     tables = {}
     for name, (partition_key, clustering_key, columns) in TABLES.items():
         key = [*partition_key, *clustering_key]

@@ -99,20 +99,17 @@ def user_dimension(users: DataFrame, since: str, as_of_year: int) -> DataFrame:
     )
 
 
-def business_reviews(
-    clean: DataFrame,
-    reviews: DataFrame,
-    category: DataFrame,
-    ambience: DataFrame,
-    state: DataFrame,
+def business_with_ids(
+    clean: DataFrame, category: DataFrame, ambience: DataFrame, state: DataFrame
 ) -> DataFrame:
-    """One row per review of a business with a known state, under dimension ids.
-
-    Ids go onto the businesses, the smaller side, before the reviews join them.
-    """
+    """Businesses with a known state, their labels replaced by dimension ids."""
     with_ids = attach_dimension(clean, category, "restaurant_category", "category_id")
     with_ids = attach_dimension(with_ids, ambience, "ambience", "ambience_id")
-    with_ids = attach_dimension(with_ids, state, "state", "state_id", how="inner")
+    return attach_dimension(with_ids, state, "state", "state_id", how="inner")
+
+
+def business_reviews(with_ids: DataFrame, reviews: DataFrame) -> DataFrame:
+    """One row per review of a business that has its ids."""
     written_on = text_to_timestamp(F.col("date"))
     counted = reviews.select(
         "review_id",
@@ -136,7 +133,9 @@ def build(
     """Write the four dimensions and the fact as JSON; return them read back.
 
     Businesses are cleaned once and dimensions numbered once, so the ids in
-    the fact are those in the dimension files.
+    the fact are those in the dimension files. Ids go onto the businesses, the
+    smaller side; written, they join the reviews at their true size, and a
+    business with very many reviews is split by AQE.
     """
     clean = written(clean_business(read_json(spark, f"{source}/business.json", BUSINESS)), "clean")
     users = read_json(spark, f"{source}/user.json", user_schema(since))
@@ -150,9 +149,8 @@ def build(
     for name, table in tables.items():
         write_json(table, f"{output}/{name}.json")
     tables["user"] = user_dimension(users, since, as_of_year)
-    tables["business_reviews"] = business_reviews(
-        clean, reviews, tables["category"], tables["ambience"], tables["state"]
-    )
+    with_ids = business_with_ids(clean, tables["category"], tables["ambience"], tables["state"])
+    tables["business_reviews"] = business_reviews(written(with_ids, "business"), reviews)
     for name in ("user", "business_reviews"):
         write_json(
             tables[name], f"{output}/{name}.json",

@@ -10,7 +10,9 @@ from starwright.operators.dimensions import (
     distinct_dimension,
     latest_per_key,
     ranked_per_key,
+    surrogate_key,
     time_dimension,
+    with_keys,
 )
 from starwright.operators.merges import keyed_last_write, merged_rows, rows_to_insert
 from starwright.queries.registry import Tables, query
@@ -139,7 +141,8 @@ def surrogate_key_dim(t: Tables) -> DataFrame:
 )
 def surrogate_key_large(t: Tables) -> DataFrame:
     """A dimension as large as the table: ids still need no single-task sort."""
-    return dimension_with_id(t.events, "ts", "ts_id")
+    stamps = with_keys(t.events.select("ts"), ["ts"]).distinct()
+    return surrogate_key(stamps, ["ts"], "ts_id")
 
 
 @query(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from starwright.session import prepare
 
@@ -16,14 +17,22 @@ class Query(NamedTuple):
 
 
 class Tables:
-    """The parquet tables of one data folder, as attributes."""
+    """The parquet tables of one data folder, as attributes.
+
+    A table's schema is read from its files once and given after that.
+    """
+
+    _schemas: dict[str, T.StructType] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
 
 REGISTRY: dict[str, Query] = {}

@@ -276,7 +276,7 @@ def upsert_songplays(t: Tables) -> DataFrame:
     plays = lake.plays(_log(t)).withColumnRenamed("timestamp", "start_time")
     songs = _catalog(t).select("song_id", "title", "artist_id", "year", "duration")
     artists = _catalog(t).select("artist_id", F.col("artist_name").alias("name")).distinct()
-    facts = upserts.songplays(plays, songs, artists)
+    facts = upserts.songplays(plays, upserts.song_lookup(songs, artists))
     names = {"userId": "user_id", "sessionId": "session_id", "userAgent": "user_agent"}
     return _as_plain(facts.withColumnsRenamed(names), user_id="long")
 

@@ -9,18 +9,28 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the run-time settings above to an existing session.
 
     UTC matters for results (epoch conversion, calendar parts); the adaptive
     settings matter for skew: joins split hot partitions and rebalanced writes
-    split hot partition values.
+    split hot partition values. AQE merges small shuffle partitions but does
+    not cut large ones in general, so for large inputs ``input_bytes`` sets how
+    many to start from.
     """
+    if input_bytes is not None:
+        wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+        partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
