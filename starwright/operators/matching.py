@@ -26,12 +26,16 @@ def match_catalog(
 ) -> DataFrame:
     """Equi-join ``rows`` to ``catalog`` and bring in some catalog columns.
 
-    ``on`` maps columns of ``rows`` to columns of ``catalog``. Duplicate
-    catalog keys fan out, as in any join. ``how`` is ``inner`` or ``left``;
+    ``on`` maps columns of ``rows`` to columns of ``catalog``, of the same
+    types (a float never equals its double). Duplicate catalog keys fan out, as in any join. ``how`` is ``inner`` or ``left``;
     with ``left`` unmatched rows stay, with nulls.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
+    for ours, theirs in on.items():
+        types = rows.schema[ours].dataType, catalog.schema[theirs].dataType
+        if types[0] != types[1]:
+            raise ValueError(f"{ours} is {types[0]} but {theirs} is {types[1]}; cast one of them")
     renamed = dict(bring) if isinstance(bring, Mapping) else {name: name for name in bring}
     keyed = catalog.select(
         *[F.col(theirs).alias(f"_on_{i}") for i, theirs in enumerate(on.values())],

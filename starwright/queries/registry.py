@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starwright.session import prepare
+from starwright.storage import scratch_dir
 
 
 class Query(NamedTuple):
@@ -23,6 +24,7 @@ class Tables:
     """
 
     _schemas: dict[str, T.StructType] = {}
+    _sources: dict[tuple[str, str, str], str] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -34,6 +36,15 @@ class Tables:
             self._schemas[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(self._schemas[path]).parquet(path)
 
+    def source_files(self, label: str, write: Callable[[str], None]) -> str:
+        """Files derived from the tables that builds read, written once per application."""
+        key = (self.spark.sparkContext.applicationId, self.folder, label)
+        if key not in self._sources:
+            path = scratch_dir(self.spark, label)
+            write(path)
+            self._sources[key] = path
+        return self._sources[key]
+
 
 REGISTRY: dict[str, Query] = {}
 

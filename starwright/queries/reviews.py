@@ -175,10 +175,13 @@ def review_users(t: Tables) -> DataFrame:
 )
 def review_warehouse(t: Tables) -> DataFrame:
     """The whole build from JSON documents; the fact read back from its files."""
-    source = scratch_dir(t.spark, "review-sources")
-    write_json(_business(t), f"{source}/business.json")
-    write_json(_reviews(t), f"{source}/review.json")
-    write_json(_users(t), f"{source}/user.json")
+
+    def write(path: str) -> None:
+        write_json(_business(t), f"{path}/business.json")
+        write_json(_reviews(t), f"{path}/review.json")
+        write_json(_users(t), f"{path}/user.json")
+
+    source = t.source_files("review-sources", write)
     output = scratch_dir(t.spark, "review-warehouse")
     tables = plan.build(t.spark, source, output, since=SINCE, as_of_year=AS_OF_YEAR)
     return tables["business_reviews"]

@@ -112,14 +112,22 @@ def _catalog(t: Tables) -> DataFrame:
     )
 
 
+LOG_ORDER = ["ts", "sessionId", "itemInSession", "userId", "song", "length", "level", "userAgent"]
+
+
+def _in_order(rows: DataFrame, order: list[str]) -> DataFrame:
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def _sources(t: Tables) -> tuple[str, str]:
     """Both as JSON files; the log in the order of time, so that load order is defined."""
-    root = scratch_dir(t.spark, "music-sources")
-    log_order = ["ts", "sessionId", "itemInSession", "userId", "song", "length", "level", "userAgent"]
-    write_json(_catalog(t).repartitionByRange("song_id").sortWithinPartitions("song_id"), f"{root}/songs")
-    write_json(
-        _log(t).repartitionByRange(*log_order).sortWithinPartitions(*log_order), f"{root}/log/2024"
-    )
+
+
+    def write(root: str) -> None:
+        write_json(_in_order(_catalog(t), ["song_id"]), f"{root}/songs")
+        write_json(_in_order(_log(t), LOG_ORDER), f"{root}/log/2024")
+
+    root = t.source_files("music-sources", write)
     return f"{root}/songs", f"{root}/log"
 
 
@@ -291,16 +299,14 @@ UPSERT_USERS_SQL = f"""WITH {LOG_SQL}, ranked AS (SELECT *,
 
 @query(UPSERT_USERS_SQL)
 def upsert_users(t: Tables) -> DataFrame:
-    order = ["ts", "sessionId", "itemInSession", "user_id", "song", "length", "level", "userAgent"]
     plays = _log(t).filter(F.col("page") == "NextSong").select(
         F.col("userId").cast("long").alias("user_id"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
-        "gender", "level", F.struct(
-            *["ts", "sessionId", "itemInSession"], F.col("userId").cast("long").alias("user_id"),
-            *order[4:],
-        ).alias("position"),
-    )
+        "gender",
+        "level",
+        F.struct(*LOG_ORDER).alias("position"),
+    )
     columns = ["user_id", "first_name", "last_name", "gender", "level"]
     return merged_rows(None, plays, ["user_id"], ["position"], columns, ["level"])
 
@@ -425,13 +431,13 @@ ACTIVITY_COLUMNS_SQL = """CAST("userId" AS INT) AS user_id, CAST("sessionId" AS
 
 def _csv(t: Tables) -> str:
     """The log as CSV files in the order of time."""
-    path = scratch_dir(t.spark, "activity-csv")
-    order = ["ts", "sessionId", "itemInSession", "userId", "song", "length", "level", "userAgent"]
-    rows = _log(t).withColumn("userId", F.col("userId").cast("long"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    texts = rows.select(*ACTIVITY_CSV.names)
-    texts.write.options(header=True, quote='"', escape='"').csv(path)
-    return path
+
+    def write(path: str) -> None:
+        rows = _in_order(_log(t).withColumn("userId", F.col("userId").cast("long")), LOG_ORDER)
+        texts = rows.select(*ACTIVITY_CSV.names)
+        texts.write.options(header=True, quote='"', escape='"').csv(path)
+
+    return t.source_files("activity-csv", write)
 
 
 @query(

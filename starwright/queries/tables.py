@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -35,7 +34,8 @@ TIMESTAMP = T.TimestampNTZType()
 def _fresh_table(
     t: Tables, label: str, columns: T.StructType, partition_by: tuple[str, ...] = ()
 ) -> str:
-    database = create_database(t.spark, f"starwright_{uuid.uuid4().hex[:12]}")
+    location = scratch_dir(t.spark, "db")
+    database = create_database(t.spark, "starwright_" + location[-12:], location)
     table = f"{database}.{label}"
     create_table(t.spark, table, columns, partition_by)
     return table
@@ -149,5 +149,5 @@ def repeatable_interval_load(t: Tables) -> DataFrame:
     table = _fresh_table(t, "facts", columns, (RUN_COLUMN,))
     events = t.events.select("event_id", "user_id", "ts")
     for execution in (date(2024, 1, 15), date(2024, 2, 1), date(2024, 2, 1)):
-        replace_fact_interval(events, table, "ts", execution)
+        replace_fact_interval(t.spark, table, events, "ts", execution)
     return t.spark.table(table).withColumn(RUN_COLUMN, F.col(RUN_COLUMN).cast("string"))

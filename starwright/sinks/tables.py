@@ -17,15 +17,14 @@ from starwright.operators.dimensions import numbered
 from starwright.operators.intervals import interval_slice, semimonthly_bounds
 from starwright.operators.merges import merged_rows, rows_to_insert
 from starwright.sinks.files import laid_out
-from starwright.storage import scratch_dir
 
 RUN_COLUMN = "load_until"
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> str:
-    """Create a database in the shared folder (or at ``location``) if missing."""
-    where = location or scratch_dir(spark, name)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{where}'")
+    """Create a database if missing, at ``location`` or else in the session's warehouse."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
     return name
 
 
@@ -64,9 +63,13 @@ def truncate_load(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) ->
     _insert(df, table, True, cluster_by)
 
 
+def _rows(spark: SparkSession, query: str | DataFrame) -> DataFrame:
+    return spark.sql(query) if isinstance(query, str) else query
+
+
 def load_dimension(spark: SparkSession, table: str, query: str | DataFrame) -> None:
     """Truncate a dimension and load it from a query."""
-    truncate_load(spark.sql(query) if isinstance(query, str) else query, table)
+    truncate_load(_rows(spark, query), table)
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -74,20 +77,23 @@ def append(df: DataFrame, table: str) -> None:
     _insert(df, table, False)
 
 
-def load_fact_interval(df: DataFrame, table: str, timestamp: str, execution: date) -> None:
-    """Append the rows of the run's interval. Running an interval twice doubles it."""
-    append(interval_slice(df, timestamp, *semimonthly_bounds(execution)), table)
+def load_fact_interval(
+    spark: SparkSession, table: str, query: str | DataFrame, timestamp: str, execution: date
+) -> None:
+    """Append the query's rows of the run's interval. Running an interval twice doubles it."""
+    append(interval_slice(_rows(spark, query), timestamp, *semimonthly_bounds(execution)), table)
 
 
-def replace_fact_interval(df: DataFrame, table: str, timestamp: str, execution: date) -> None:
+def replace_fact_interval(
+    spark: SparkSession, table: str, query: str | DataFrame, timestamp: str, execution: date
+) -> None:
     """Load the run's interval so that running it again changes nothing.
 
     The table is partitioned by ``load_until``; each run overwrites its own
     partition and leaves the others alone, also when it has no rows.
     """
-    spark = df.sparkSession
     columns = [f for f in spark.table(table).schema.fields if f.name != RUN_COLUMN]
-    rows = interval_slice(df, timestamp, *semimonthly_bounds(execution))
+    rows = interval_slice(_rows(spark, query), timestamp, *semimonthly_bounds(execution))
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} "
         f"PARTITION ({RUN_COLUMN} = DATE '{execution.isoformat()}') SELECT * FROM {{rows}}",

@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from starwright import prepare  # noqa: E402
+from starwright.sinks.tables import create_database  # noqa: E402
+from starwright.storage import scratch_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -45,8 +47,5 @@ def conf(spark):
 
 @pytest.fixture
 def database(spark):
-    import uuid
-
-    from starwright.sinks.tables import create_database
-
-    return create_database(spark, f"test_{uuid.uuid4().hex[:12]}")
+    location = scratch_dir(spark, "test-db")
+    return create_database(spark, "test_" + location[-12:], location)

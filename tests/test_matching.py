@@ -48,6 +48,13 @@ def test_lookup_takes_the_smallest(plays, catalog):
     ]
 
 
+def test_mixed_key_types_are_refused(plays, catalog):
+    wider = plays.withColumn("title", F.col("id").cast("long")).drop("song")
+    for match in (match_left, lookup_first):
+        with pytest.raises(ValueError, match="cast one of them"):
+            match(wider, catalog, {"title": "title"}, ["song_id"])
+
+
 def test_other_join_kinds_are_refused(plays, catalog):
     with pytest.raises(ValueError):
         match_catalog(plays, catalog, ON, ["song_id"], "full")

@@ -1,6 +1,9 @@
-from pyspark.sql import functions as F
+from datetime import date
+
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starwright.operators.merges import keyed_last_write, merged_rows, rows_to_insert
 from starwright.schemas import schema
@@ -9,8 +12,10 @@ from starwright.sinks.tables import (
     append_with_serial,
     create_table,
     drop_table,
+    load_fact_interval,
     recreate_table,
     replace_contents,
+    replace_fact_interval,
     truncate_load,
     upsert_ignore,
     upsert_update,
@@ -125,3 +130,26 @@ def test_serial_goes_on(spark, database):
     append_with_serial(spark.range(5).select(F.col("id").alias("v")), table, "id")
     append_with_serial(spark.range(3).select(F.col("id").alias("v")), table, "id")
     assert sorted(row.id for row in spark.table(table).collect()) == list(range(1, 9))
+
+
+@pytest.mark.parametrize("as_sql", [False, True])
+def test_fact_intervals_append_or_replace(spark, database, as_sql):
+    events = spark.sql(
+        "SELECT * FROM VALUES (1, timestamp'2018-11-15 23:59:59'), (2, timestamp'2018-11-16 00:00:00'), "
+        "(3, timestamp'2018-12-01 23:00:00'), (4, timestamp'2018-12-02 00:00:00') AS t(id, at)"
+    )
+    events.createOrReplaceTempView("interval_events")
+    query = "SELECT id, at FROM interval_events" if as_sql else events
+    plain, by_run = f"{database}.plain", f"{database}.by_run"
+    create_table(spark, plain, schema(id="int", at="time"))
+    columns = schema(id="int", at="time", load_until=T.DateType())
+    create_table(spark, by_run, columns, partition_by=["load_until"])
+    for _ in range(2):
+        load_fact_interval(spark, plain, query, "at", date(2018, 12, 1))
+        replace_fact_interval(spark, by_run, query, "at", date(2018, 12, 1))
+    replace_fact_interval(spark, by_run, query, "at", date(2018, 11, 15))
+    assert sorted(row.id for row in spark.table(plain).collect()) == [2, 2, 3, 3]
+    assert sorted(row.id for row in spark.table(by_run).collect()) == [1, 2, 3]
+    # A run that finds nothing any more empties its own slice only.
+    replace_fact_interval(spark, by_run, events.filter("id > 3"), "at", date(2018, 12, 1))
+    assert sorted(row.id for row in spark.table(by_run).collect()) == [1]

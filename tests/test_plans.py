@@ -221,3 +221,17 @@ def test_review_warehouse(spark, tmp_path):
         ("u0", 2, 0, False, 2012, 5), ("u1", 1, 1, False, 2012, 5), ("u2", None, 1, True, 2012, 5),
         ("u3", 1, 2, True, 2012, 5), ("u4", 1, 2, False, 2012, 5),
     ]
+
+
+def test_command_line(spark, music, tmp_path):
+    from starwright.__main__ import main
+
+    songs, log = music
+    main(["lake", "--songs", songs, "--log", log, "--output", f"{tmp_path}/cli"])
+    assert spark.read.parquet(f"{tmp_path}/cli/songplays").count() == 3
+    name = f"cli_{tmp_path.name.replace('-', '_')}"
+    main(
+        ["--input-bytes", "1000", "incremental", "--songs", songs, "--log", log, "--database", name,
+         "--location", f"{tmp_path}/db", "--execution-date", "2018-12-01", "--repeatable"]
+    )
+    assert spark.table(f"{name}.songplays").count() == 5
