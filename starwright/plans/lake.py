@@ -14,7 +14,7 @@ from starwright.plans.music import SONG_MATCH, only_plays
 from starwright.schemas import ACTIVITY_LOG, SONG
 from starwright.sinks.files import write_parquet
 from starwright.sources.files import read_json
-from starwright.storage import written
+from starwright.storage import intermediates, written
 
 
 def songs(catalog: DataFrame) -> DataFrame:
@@ -76,19 +76,20 @@ def build(
     reads only its own. ``song_partitions`` can be narrowed for catalogs whose
     (year, artist) pairs would make too many directories.
     """
-    catalog = written(read_json(spark, songs_path, SONG, recursive=True), "catalog")
-    played = written(plays(read_json(spark, log_path, ACTIVITY_LOG, recursive=True)), "plays")
-    by_month = {"partition_by": ["year", "month"]}
-    small = {"max_files": small_table_files}
-    tables = {
-        "songs": (songs(catalog), {"partition_by": song_partitions}),
-        "artists": (artists(catalog), small),
-        "users": (users(played), small),
-        "time": (time(played), by_month),
-        "songplays": (songplays(played, catalog), by_month),
-    }
-    for name, (table, layout) in tables.items():
-        write_parquet(table, f"{output}/{name}", **layout)
+    with intermediates(spark):
+        catalog = written(read_json(spark, songs_path, SONG, recursive=True), "catalog")
+        played = written(plays(read_json(spark, log_path, ACTIVITY_LOG, recursive=True)), "plays")
+        by_month = {"partition_by": ["year", "month"]}
+        small = {"max_files": small_table_files}
+        tables = {
+            "songs": (songs(catalog), {"partition_by": song_partitions}),
+            "artists": (artists(catalog), small),
+            "users": (users(played), small),
+            "time": (time(played), by_month),
+            "songplays": (songplays(played, catalog), by_month),
+        }
+        for name, (table, layout) in tables.items():
+            write_parquet(table, f"{output}/{name}", **layout)
     return {
         name: spark.read.schema(table.schema).parquet(f"{output}/{name}")
         for name, (table, _) in tables.items()

@@ -9,7 +9,7 @@ from starwright.operators.merges import keyed_last_write
 from starwright.schemas import ACTIVITY_CSV, ACTIVITY_CSV_KEPT
 from starwright.sinks.files import write_csv, write_parquet
 from starwright.sources.files import LOAD_ORDER, read_csv
-from starwright.storage import written
+from starwright.storage import intermediates, written
 
 
 def with_artist(log: DataFrame) -> DataFrame:
@@ -51,16 +51,17 @@ def build(spark: SparkSession, csv_path: str, output: str) -> dict[str, DataFram
     its partition key and sorted by its clustering key. The load order is that of
     the source files; the concatenated CSV goes out beside the tables.
     """
-    log = with_artist(read_csv(spark, csv_path, ACTIVITY_CSV, with_load_order=True))
-    kept = written(log.select(*ACTIVITY_CSV_KEPT, LOAD_ORDER), "events")
-    write_csv(kept, f"{output}/events_csv", columns=ACTIVITY_CSV_KEPT)
-    rows = typed(kept)
     tables = {}
-    for name, (partition_key, clustering_key, columns) in TABLES.items():
-        key = [*partition_key, *clustering_key]
-        table = keyed_last_write(rows, key, [LOAD_ORDER], [*key, *columns])
-        write_parquet(table, f"{output}/{name}", cluster_by=partition_key, sort_by=clustering_key)
-        tables[name] = spark.read.schema(table.schema).parquet(f"{output}/{name}")
+    with intermediates(spark):
+        log = with_artist(read_csv(spark, csv_path, ACTIVITY_CSV, with_load_order=True))
+        kept = written(log.select(*ACTIVITY_CSV_KEPT, LOAD_ORDER), "events")
+        write_csv(kept, f"{output}/events_csv", columns=ACTIVITY_CSV_KEPT)
+        rows = typed(kept)
+        for name, (partition_key, clustering_key, columns) in TABLES.items():
+            key = [*partition_key, *clustering_key]
+            table = keyed_last_write(rows, key, [LOAD_ORDER], [*key, *columns])
+            write_parquet(table, f"{output}/{name}", cluster_by=partition_key, sort_by=clustering_key)
+            tables[name] = spark.read.schema(table.schema).parquet(f"{output}/{name}")
     return tables
 
 

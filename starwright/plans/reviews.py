@@ -21,7 +21,7 @@ from starwright.operators.matching import attach_dimension, match_inner
 from starwright.schemas import BUSINESS, REVIEW, user_schema
 from starwright.sinks.files import write_json
 from starwright.sources.files import read_json
-from starwright.storage import written
+from starwright.storage import intermediates, written
 
 # Label priorities and the sentinel for "no label".
 AMBIENCES = [
@@ -137,26 +137,28 @@ def build(
     smaller side; written, they join the reviews at their true size, and a
     business with very many reviews is split by AQE.
     """
-    clean = written(clean_business(read_json(spark, f"{source}/business.json", BUSINESS)), "clean")
     users = read_json(spark, f"{source}/user.json", user_schema(since))
     reviews = read_json(spark, f"{source}/review.json", REVIEW)
-
-    tables = {
-        "state": state_dimension(clean),
-        "category": category_dimension(clean),
-        "ambience": ambience_dimension(clean),
-    }
-    for name, table in tables.items():
-        write_json(table, f"{output}/{name}.json")
-    tables["user"] = user_dimension(users, since, as_of_year)
-    with_ids = business_with_ids(clean, tables["category"], tables["ambience"], tables["state"])
-    tables["business_reviews"] = business_reviews(written(with_ids, "business"), reviews)
-    for name in ("user", "business_reviews"):
-        write_json(
-            tables[name], f"{output}/{name}.json",
-            partition_by=["year"], keep_partition_columns=True,
-        )
+    by_year = {"partition_by": ["year"], "keep_partition_columns": True}
+    with intermediates(spark):
+        business = read_json(spark, f"{source}/business.json", BUSINESS)
+        clean = written(clean_business(business), "clean")
+        state, category, ambience = (
+            state_dimension(clean),
+            category_dimension(clean),
+            ambience_dimension(clean),
+        )
+        with_ids = written(business_with_ids(clean, category, ambience, state), "business")
+        tables = {
+            "state": (state, {}),
+            "category": (category, {}),
+            "ambience": (ambience, {}),
+            "user": (user_dimension(users, since, as_of_year), by_year),
+            "business_reviews": (business_reviews(with_ids, reviews), by_year),
+        }
+        for name, (table, layout) in tables.items():
+            write_json(table, f"{output}/{name}.json", **layout)
     return {
         name: read_json(spark, f"{output}/{name}.json", table.schema).select(*table.columns)
-        for name, table in tables.items()
+        for name, (table, _) in tables.items()
     }

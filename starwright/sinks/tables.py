@@ -17,6 +17,7 @@ from starwright.operators.dimensions import numbered
 from starwright.operators.intervals import interval_slice, semimonthly_bounds
 from starwright.operators.merges import merged_rows, rows_to_insert
 from starwright.sinks.files import laid_out
+from starwright.storage import remove
 
 RUN_COLUMN = "load_until"
 
@@ -101,20 +102,23 @@ def replace_fact_interval(
     )
 
 
-def replace_contents(df: DataFrame, table: str) -> None:
+def replace_contents(df: DataFrame, table: str, *, keep_previous: bool = True) -> None:
     """Point a table to a new version of its files; may read the table itself.
 
     Parquet files cannot be overwritten while they are read, so the rows go
     into a new directory and the table moves there once all of it is written.
-    Nothing is copied; the directory before it stays for readers still on it.
+    The directory before it stays, for readers still on it, unless
+    ``keep_previous`` is off.
     """
     spark = df.sparkSession
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
     current = details.filter(F.col("col_name") == "Location").first()["data_type"].rstrip("/")
-    version = f"{current.split('/_v-')[0]}/_v-{uuid.uuid4().hex}"
+    version = f"{current.split('__v-')[0]}__v-{uuid.uuid4().hex}"
     positional(df, spark.table(table).schema).write.parquet(version)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
     spark.catalog.refreshTable(table)
+    if not keep_previous:
+        remove(spark, current)
 
 
 def upsert_ignore(new: DataFrame, table: str, keys: Sequence[str], order: Sequence[str]) -> None:
@@ -124,11 +128,18 @@ def upsert_ignore(new: DataFrame, table: str, keys: Sequence[str], order: Sequen
 
 
 def upsert_update(
-    new: DataFrame, table: str, keys: Sequence[str], order: Sequence[str], update: Sequence[str]
+    new: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    update: Sequence[str],
+    *,
+    keep_previous: bool = True,
 ) -> None:
     """Insert rows with new keys; on conflict set the ``update`` columns."""
     target = new.sparkSession.table(table)
-    replace_contents(merged_rows(target, new, keys, order, target.columns, update), table)
+    merged = merged_rows(target, new, keys, order, target.columns, update)
+    replace_contents(merged, table, keep_previous=keep_previous)
 
 
 def append_with_serial(df: DataFrame, table: str, serial: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,24 @@ def map_fields(df: DataFrame, fields: Sequence[tuple[str, str]]) -> DataFrame:
     return df.select(*[F.col(field).alias(column) for field, column in fields])
 
 
+def fields_from_jsonpaths(document: str, columns: Sequence[str]) -> list[tuple[str, str]]:
+    """Field list from a JSONPaths document, whose n-th path fills the n-th column.
+
+    Paths step through objects, as ``$.a.b`` or ``$['a']['b']``.
+    """
+    paths = json.loads(document)["jsonpaths"]
+    if len(paths) != len(columns):
+        raise ValueError(f"{len(paths)} paths for {len(columns)} columns")
+    step = re.compile(r"\.(\w+)|\['([^']+)'\]|\[\"([^\"]+)\"\]")
+    fields = []
+    for path, column in zip(paths, columns):
+        steps = ["".join(parts) for parts in step.findall(path)]
+        if not re.fullmatch(rf"\$(?:{step.pattern})+", path):
+            raise ValueError(f"unsupported path {path!r}")
+        fields.append((".".join(f"`{name}`" for name in steps), column))
+    return fields
+
+
 def _coerced(df: DataFrame, field: T.StructField, width: int | None) -> Column:
     value, source, target = F.col(field.name), df.schema[field.name].dataType, field.dataType
     from_text = isinstance(source, T.StringType) and not isinstance(target, T.StringType)

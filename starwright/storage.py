@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_to_remove: ContextVar[list[str] | None] = ContextVar("_to_remove", default=None)
+
+
 @lru_cache(maxsize=1)
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="starwright-")
@@ -43,5 +49,30 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
+    if (paths := _to_remove.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what ``written`` wrote meanwhile.
+
+    For builds whose results are tables of their own: what they return must
+    not read the intermediates any more.
+    """
+    token = _to_remove.set([])
+    try:
+        yield
+    finally:
+        paths = _to_remove.get()
+        _to_remove.reset(token)
+        for path in paths:
+            remove(spark, path)

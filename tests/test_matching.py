@@ -12,6 +12,7 @@ from starwright.operators.matching import (
     match_inner,
     match_left,
 )
+from starwright.plans.reviews import business_reviews
 
 ON = {"song": "title", "artist": "name"}
 
@@ -106,6 +107,33 @@ def test_hot_key_is_split_in_a_left_match(hot_frames):
     assert result.loc[~known, "sid"].isna().all()
 
 
+def test_null_keys_are_split_in_a_left_match(hot_frames):
+    rows, catalog = hot_frames
+    blank = rows.withColumn("k", F.when(F.col("k") != HOT, F.col("k")))
+    got = match_left(blank, catalog.filter(F.col("sid") < 4000), {"k": "c"}, ["sid"])
+    result = got.toPandas()
+    assert "skew=true" in _final_plan(got)
+    assert len(result) == 200_000
+    assert result.loc[result["k"].isna(), "sid"].isna().all()
+
+
+def test_hot_business_is_split_in_the_review_fact(hot_frames):
+    rows, catalog = hot_frames
+    reviews = rows.select(
+        F.col("v").cast("string").alias("review_id"), F.lit("u").alias("user_id"),
+        F.col("k").cast("string").alias("business_id"), F.lit(1.0).alias("stars"),
+        F.lit("2018-01-02").alias("date"), F.lit(0).alias("cool"), F.lit(0).alias("funny"),
+        F.lit(0).alias("useful"),
+    )
+    unique = catalog.filter(F.col("sid") < 4000)
+    business = unique.select(F.col("c").cast("string").alias("business_id"), "sid")
+    got = business_reviews(business, reviews)
+    result = got.toPandas()
+    assert "skew=true" in _final_plan(got)
+    assert len(result) == rows.filter(F.col("k") < 4000).count()
+    assert (result["sid"] == result["business_id"].astype(int)).all()
+
+
 def test_hot_key_is_split_in_a_lookup(hot_frames):
     rows, catalog = hot_frames
     got = lookup_first(rows, catalog, {"k": "c"}, ["sid"])

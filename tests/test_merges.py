@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -102,6 +103,12 @@ def test_replace_contents_may_read_its_table(spark, database):
     replace_contents(before.select(F.col("v") * 10), table)
     replace_contents(spark.table(table).select(F.col("v") + 1), table)
     assert rows(spark.table(table)) == [(11,), (21,)]
+    (previous,) = {name.rsplit("/", 1)[0] for name in spark.table(table).inputFiles()}
+    replace_contents(spark.table(table).filter("v > 11"), table, keep_previous=False)
+    assert rows(spark.table(table)) == [(21,)]
+    assert not Path(previous.removeprefix("file://")).exists()
+    append(spark.createDataFrame([(5,)], "v int"), table)
+    assert rows(spark.table(table)) == [(21,), (5,)]
 
 
 def test_truncate_load_replaces_and_append_adds(spark, database):

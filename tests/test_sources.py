@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from starwright.schemas import schema
 from starwright.sinks.tables import create_table
 from starwright.sources.files import LOAD_ORDER, read_csv, read_json
-from starwright.sources.staging import coerce_to_schema, map_fields, stage_table
+from starwright.sources.staging import (
+    coerce_to_schema,
+    fields_from_jsonpaths,
+    map_fields,
+    stage_table,
+)
 
 AB = schema(a="long", b="text")
 
@@ -116,6 +121,18 @@ def test_map_fields_orders_and_renames(spark):
     assert got.columns == ["second", "first"] and tuple(got.first()) == (2, 1)
 
 
+def test_jsonpaths(spark):
+    document = """{"jsonpaths": ["$.a.b", "$['c d']", "$[\\"e\\"]['f']"]}"""
+    fields = fields_from_jsonpaths(document, ["x", "y", "z"])
+    df = spark.sql("SELECT struct(1 AS b) AS a, 2 AS `c d`, struct(3 AS f) AS e")
+    got = map_fields(df, fields)
+    assert got.columns == ["x", "y", "z"] and tuple(got.first()) == (1, 2, 3)
+    with pytest.raises(ValueError, match="3 paths for 2 columns"):
+        fields_from_jsonpaths(document, ["x", "y"])
+    with pytest.raises(ValueError, match="unsupported path"):
+        fields_from_jsonpaths('{"jsonpaths": ["$.a[0]"]}', ["x"])
+
+
 def test_stage_table(spark, database, tmp_path):
     table = f"{database}.staging"
     create_table(spark, table, schema(id="int", name="text", length="number"))

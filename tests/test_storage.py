@@ -1,7 +1,9 @@
+from pathlib import Path
+
 import pytest
 
 from starwright.session import SETTINGS, prepare
-from starwright.storage import scratch_dir, shared_root, written
+from starwright.storage import intermediates, scratch_dir, shared_root, written
 
 
 def test_written_frames_go_below_the_shared_folder(spark):
@@ -11,6 +13,17 @@ def test_written_frames_go_below_the_shared_folder(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
+def test_intermediates_are_removed(spark):
+    kept = written(spark.range(3), "kept")
+    with pytest.raises(RuntimeError), intermediates(spark):
+        gone = written(spark.range(3), "gone")
+        assert gone.count() == 3
+        raise RuntimeError
+    (path,) = {name.rsplit("/", 1)[0].removeprefix("file://") for name in gone.inputFiles()}
+    assert not Path(path).exists()
+    assert kept.count() == 3
+
+
 class _Session:
     def __init__(self, **options):
         self.options = options
