@@ -54,18 +54,49 @@ def ranked_per_key(
     return pick(ranked.filter(F.col("_rank") == 1).select(*names), columns)
 
 
+def _extreme_per_key(
+    df: DataFrame, keys: Sequence[str], positions: Sequence[Column], columns: Columns, pick_one
+) -> DataFrame:
+    """One row per key by an aggregate over (position, other columns)."""
+    renamed = dict(columns) if isinstance(columns, Mapping) else {name: name for name in columns}
+    others = [name for name in renamed if name not in keys]
+    row = F.struct(
+        *[position.alias(f"_position_{i}") for i, position in enumerate(positions)], *others
+    )
+    best = df.groupBy(*keys).agg(pick_one(row).alias("_row"))
+    return best.select(
+        *[
+            F.col(f"_row.{source}" if source in others else source).alias(name)
+            for source, name in renamed.items()
+        ]
+    )
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
-    latest_by: str,
+    order: Sequence[str],
     columns: Columns,
-    tiebreak: Sequence[Column] = (),
     *,
     drop_null_keys: bool = True,
 ) -> DataFrame:
-    """The row with the greatest ``latest_by`` per key (nulls count as oldest)."""
-    order = [F.col(latest_by).desc_nulls_last(), *tiebreak]
-    return ranked_per_key(df, keys, order, columns, drop_null_keys=drop_null_keys)
+    """The row with the greatest ``order`` columns per key; nulls count as oldest.
+
+    Rows that are equal in the order fall back to the greater of the chosen
+    columns, so the result does not depend on how the rows were distributed.
+    One aggregation with partial results: a hot key folds to one row per task
+    before the shuffle.
+    """
+    rows = with_keys(df, keys) if drop_null_keys else df
+    return _extreme_per_key(rows, keys, [F.col(name) for name in order], columns, F.max)
+
+
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Columns
+) -> DataFrame:
+    """The row with the smallest ``order`` columns per key; nulls count as last."""
+    positions = [part for name in order for part in (F.col(name).isNull(), F.col(name))]
+    return _extreme_per_key(with_keys(df, keys), keys, positions, columns, F.min)
 
 
 def time_dimension(

@@ -1,7 +1,8 @@
 """Upsert semantics as DataFrame expressions. Keys must not be null.
 
-Spark rows have no order of their own, so every merge takes an explicit order
-column (an event id, a timestamp, or the load order the staging reads add).
+Spark rows have no order of their own, so every merge takes explicit order
+columns (an event id, a timestamp, or the load order the staging reads add).
+Rows without an order lose against those with one.
 """
 
 from __future__ import annotations
@@ -12,15 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwright.functions.keys import require_keys
-from starwright.operators.dimensions import ranked_per_key
+from starwright.operators.dimensions import first_per_key, latest_per_key
 
 
 def keyed_last_write(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
     """One row per key: the last one written wins."""
-    by = [F.col(name).desc_nulls_last() for name in order]
-    return ranked_per_key(require_keys(df, keys), keys, by, columns)
+    return latest_per_key(require_keys(df, keys), keys, order, columns)
 
 
 def rows_to_insert(
@@ -35,8 +35,7 @@ def rows_to_insert(
     First row per key among the new ones, minus the keys already in the
     target, of which only the key columns are read.
     """
-    by = [F.col(name).asc_nulls_last() for name in order]
-    first = ranked_per_key(require_keys(new, keys), keys, by, columns)
+    first = first_per_key(require_keys(new, keys), keys, order, columns)
     if target is None:
         return first
     return first.join(target.select(*keys), list(keys), "left_anti").select(*columns)
@@ -57,16 +56,19 @@ def merged_rows(
     through one aggregation, so each side is shuffled once and a hot key folds
     to one row per task before that.
     """
-    position = F.struct(F.lit(1).alias("batch"), *order)
-    rows = require_keys(new, keys).select(*columns, position.alias("_position"))
+    rows = require_keys(new, keys).select(
+        *columns, F.lit(1).alias("_batch"), *[F.col(o).alias(f"_{i}") for i, o in enumerate(order)]
+    )
     if target is not None:
-        no_order = [F.lit(None).cast(new.schema[name].dataType).alias(name) for name in order]
-        existing = F.struct(F.lit(0).alias("batch"), *no_order)
-        rows = target.select(*columns, existing.alias("_position")).unionByName(rows)
+        rows = target.select(*columns, F.lit(0).alias("_batch")).unionByName(
+            rows, allowMissingColumns=True
+        )
     kept = [name for name in columns if name not in keys and name not in update]
+    position = [F.col(f"_{i}") for i in range(len(order))]
+    missing = [column.isNull().alias(f"_no{i}") for i, column in enumerate(position)]
     merged = rows.groupBy(*keys).agg(
-        F.min_by(F.struct(*kept, F.lit(1).alias("_")), "_position").alias("_first"),
-        F.max_by(F.struct(*update, F.lit(1).alias("_")), "_position").alias("_last"),
+        F.min(F.struct("_batch", *missing, *position, *kept)).alias("_first"),
+        F.max(F.struct("_batch", *position, *update)).alias("_last"),
     )
     picked = {name: f"_first.{name}" for name in kept} | {name: f"_last.{name}" for name in update}
     return merged.select(*[F.col(picked.get(name, name)).alias(name) for name in columns])

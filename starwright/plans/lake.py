@@ -41,9 +41,8 @@ def users(played: DataFrame) -> DataFrame:
     return latest_per_key(
         played,
         ["userId"],
-        "timestamp",
+        ["timestamp", "level", "sessionId"],
         ["userId", "firstName", "lastName", "gender", "level"],
-        [F.col("level").desc_nulls_last(), F.col("sessionId").desc_nulls_last()],
         drop_null_keys=False,
     )
 

@@ -34,7 +34,7 @@ def songs_dim_distinct(t: Tables) -> DataFrame:
 )
 def users_dim_latest_all(t: Tables) -> DataFrame:
     columns = {"user_id": "user_id", "event_type": "level", "value": "value"}
-    return latest_per_key(t.events, ["user_id"], "ts", columns, [F.col("event_id").desc()])
+    return latest_per_key(t.events, ["user_id"], ["ts", "event_id"], columns)
 
 
 @query(
@@ -45,7 +45,7 @@ def users_dim_latest_all(t: Tables) -> DataFrame:
 def users_dim_latest_filtered(t: Tables) -> DataFrame:
     views = t.events.filter(F.col("event_type") == "view")
     return latest_per_key(
-        views, ["user_id"], "ts", ["user_id", "props", "value"], [F.col("event_id").desc()]
+        views, ["user_id"], ["ts", "event_id"], ["user_id", "props", "value"]
     )
 
 

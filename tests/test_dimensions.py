@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from starwright.operators.dimensions import (
     dimension_with_id,
     distinct_dimension,
+    first_per_key,
     latest_per_key,
     numbered,
     ranked_per_key,
@@ -24,10 +25,13 @@ def test_distinct_with_rename(spark):
 def test_latest_treats_null_as_oldest_and_breaks_ties(spark):
     rows = [(1, None, "z"), (1, 5, "a"), (1, 5, "b"), (2, None, "q"), (None, 9, "x")]
     df = spark.createDataFrame(rows, "k int, ts int, v string")
-    got = latest_per_key(df, ["k"], "ts", ["k", "v"], [F.col("v").desc()])
-    assert sorted(map(tuple, got.collect())) == [(1, "b"), (2, "q")]
-    kept = latest_per_key(df, ["k"], "ts", ["k", "v"], [F.col("v").desc()], drop_null_keys=False)
+    got = latest_per_key(df, ["k"], ["ts"], {"v": "value", "k": "key"})
+    assert got.columns == ["value", "key"]
+    assert sorted(map(tuple, got.collect())) == [("b", 1), ("q", 2)]
+    kept = latest_per_key(df, ["k"], ["ts"], ["k", "v"], drop_null_keys=False)
     assert (None, "x") in map(tuple, kept.collect())
+    first = first_per_key(df, ["k"], ["ts"], ["k", "v"])
+    assert sorted(map(tuple, first.collect())) == [(1, "a"), (2, "q")]
 
 
 def test_ranked_mixes_directions(spark):
@@ -38,11 +42,27 @@ def test_ranked_mixes_directions(spark):
     assert sorted(map(tuple, got.collect()), key=str) == [("a", 2.0, None), ("b", None, 5.0)]
 
 
-def test_latest_limits_each_key_before_the_shuffle(spark):
+def before_shuffle(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.index("Exchange"):]
+
+
+def test_one_row_per_key_and_task_is_shuffled(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("ts"))
-    plan = latest_per_key(df, ["k"], "ts", ["k", "ts"])._jdf.queryExecution().executedPlan().toString()
-    before_shuffle = plan[plan.index("Exchange"):]
-    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+    assert "partial_max" in before_shuffle(latest_per_key(df, ["k"], ["ts"], ["k", "ts"]))
+    assert "partial_min" in before_shuffle(first_per_key(df, ["k"], ["ts"], ["k", "ts"]))
+    ranked = before_shuffle(ranked_per_key(df, ["k"], [F.col("ts").asc()], ["k", "ts"]))
+    assert "WindowGroupLimit" in ranked and "Partial" in ranked
+
+
+def test_hot_key_over_many_rows(spark):
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000)
+    df = spark.range(0, 300_000, 1, 16).select(key.alias("k"), F.col("id").alias("ts"))
+    got = {row.k: row.ts for row in latest_per_key(df, ["k"], ["ts"], ["k", "ts"]).collect()}
+    expected = {}
+    for i in range(300_000):
+        expected[7 if i % 3 == 0 else i % 1000] = i
+    assert got == expected
 
 
 def test_time_dimension_dedupes_on_request(spark):

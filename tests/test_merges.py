@@ -80,7 +80,14 @@ def test_hot_key_folds_before_the_shuffle(spark):
     )
     plan = merged_rows(None, df, ["id"], ["at"], COLUMNS, ["level"])._jdf.queryExecution()
     text = plan.executedPlan().toString()
-    assert "partial_min_by" in text[text.index("Exchange"):]
+    assert "partial_min(" in text[text.index("Exchange"):]
+
+
+def test_rows_without_an_order_lose(spark):
+    df = spark.createDataFrame([(1, "a", "x", None), (1, "b", "y", 5), (1, "c", "z", 3)], USERS)
+    assert rows(keyed_last_write(df, ["id"], ["at"], COLUMNS)) == [(1, "b", "y")]
+    assert rows(rows_to_insert(None, df, ["id"], ["at"], COLUMNS)) == [(1, "c", "z")]
+    assert rows(merged_rows(None, df, ["id"], ["at"], COLUMNS, ["level"])) == [(1, "c", "y")]
 
 
 def test_table_upserts(spark, database):
