@@ -1,5 +1,6 @@
 from datetime import date
 from pathlib import Path
+from random import Random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -167,3 +168,39 @@ def test_fact_intervals_append_or_replace(spark, database, as_sql):
     # A run that finds nothing any more empties its own slice only.
     replace_fact_interval(spark, by_run, events.filter("id > 3"), "at", date(2018, 12, 1))
     assert sorted(row.id for row in spark.table(by_run).collect()) == [1]
+
+
+def _random_batches(seed):
+    """Three batches of rows with unique orders, many keys, nulls, and one hot key."""
+    random = Random(seed)
+    orders = list(range(3000))
+    random.shuffle(orders)
+    batches = [[], [], []]
+    for at in orders:
+        key = 0 if random.random() < 0.33 else random.randrange(400)
+        name = random.choice(["a", "b", "c", None])
+        level = random.choice(["free", "paid", None])
+        batches[random.randrange(3)].append((key, name, level, at))
+    return batches
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_merges_against_row_by_row_upserts(spark, seed):
+    updated, ignored, last = {}, {}, {}
+    merged = kept = None
+    for batch in _random_batches(seed):
+        for key, name, level, _ in sorted(batch, key=lambda row: row[3]):
+            updated[key] = (updated[key][0] if key in updated else name, level)
+            ignored.setdefault(key, (name, level))
+        df = spark.createDataFrame(batch, USERS).repartition(7)
+        merged = merged_rows(merged, df, ["id"], ["at"], COLUMNS, ["level"])
+        added = rows_to_insert(kept, df, ["id"], ["at"], COLUMNS)
+        kept = added if kept is None else kept.unionByName(added)
+    assert {row.id: (row.name, row.level) for row in merged.collect()} == updated
+    assert {row.id: (row.name, row.level) for row in kept.collect()} == ignored
+    everything = [row for batch in _random_batches(seed) for row in batch]
+    for key, name, level, _ in sorted(everything, key=lambda row: row[3]):
+        last[key] = (name, level)
+    df = spark.createDataFrame(everything, USERS).repartition(7)
+    got = keyed_last_write(df, ["id"], ["at"], COLUMNS)
+    assert {row.id: (row.name, row.level) for row in got.collect()} == last

@@ -17,7 +17,23 @@ def test_every_query_has_sql():
     assert [name for name, query in REGISTRY.items() if query.sql is None] == []
 
 
+# A query may bring rows together in one task only to count them, or for a top-k report.
+ONE_TASK = {"non_empty_check", "serial_append", "upsert_star_twice"}
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, connection, name):
     query = REGISTRY[name]
-    assert differences(query.run(spark, FOLDER), connection, query.sql) is None
+    result = query.run(spark, FOLDER)
+    assert differences(result, connection, query.sql) is None
+
+    plan = plan_of(result)
+    for operator in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
+        assert operator not in plan
+    if "SinglePartition" in plan and name not in ONE_TASK:
+        # Row counts per partition, on the way to the offsets of ids.
+        assert "_part" in plan[plan.index("SinglePartition") :]

@@ -7,8 +7,14 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from starwright.operators.intervals import interval_slice_ms
 from starwright.plans import incremental, lake, lookups, reviews, upserts, warehouse
-from starwright.schemas import ACTIVITY_CSV, ACTIVITY_LOG
+from starwright.schemas import (
+    ACTIVITY_CSV,
+    ACTIVITY_LOG,
+    INCREMENTAL_EVENTS,
+    INCREMENTAL_SONGS,
+)
 
 # 2018-11-20 10:00:00.250 UTC, a Tuesday.
 T0 = 1542708000250
@@ -121,6 +127,22 @@ def test_incremental(spark, music, database, repeatable):
     )
 
 
+def test_interval_and_page_reach_the_staging_scan(spark, conf, tmp_path):
+    conf(maxMetadataStringLength="5000", debug__maxToStringFields="100")
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in INCREMENTAL_EVENTS)
+    spark.sql(f"SELECT {columns}").write.parquet(f"{tmp_path}/events")
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in INCREMENTAL_SONGS)
+    spark.sql(f"SELECT {columns}").write.parquet(f"{tmp_path}/songs")
+    events, songs = spark.read.parquet(f"{tmp_path}/events"), spark.read.parquet(f"{tmp_path}/songs")
+    recent = interval_slice_ms(events, "ts", date(2018, 11, 15), date(2018, 12, 1))
+    plan = incremental.songplays(recent, songs)._jdf.queryExecution().executedPlan().toString()
+    (scan,) = [line for line in plan.splitlines() if "FileScan" in line and "/events" in line]
+    for pushed in ("GreaterThanOrEqual(ts,", "LessThan(ts,", "EqualTo(page,NextSong)"):
+        assert pushed in scan
+    read = scan[scan.index("ReadSchema"):]
+    assert "registration" not in read and "firstname" not in read
+
+
 def test_incremental_run_without_plays_fails_its_check(spark, music, database):
     with pytest.raises(ValueError, match="0 rows"):
         incremental.run(spark, database, *music, date(2018, 11, 15))
