@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starwright.session import prepare
-from starwright.storage import scratch_dir
+from starwright.storage import exists, scratch_dir
 
 
 class Query(NamedTuple):
@@ -39,7 +39,7 @@ class Tables:
     def source_files(self, label: str, write: Callable[[str], None]) -> str:
         """Files derived from the tables that builds read, written once per application."""
         key = (self.spark.sparkContext.applicationId, self.folder, label)
-        if key not in self._sources:
+        if key not in self._sources or not exists(self.spark, self._sources[key]):
             path = scratch_dir(self.spark, label)
             write(path)
             self._sources[key] = path

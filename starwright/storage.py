@@ -55,10 +55,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whatever file system its path names."""
+def _folder(spark: SparkSession, path: str):
+    """A path and the file system it names."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds."""
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
 
 
 @contextmanager
