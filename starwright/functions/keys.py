@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,7 +19,7 @@ def required(name: str, like: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(message).cast(like)).alias(name)
 
 
-def require_keys(df, keys: Iterable[str]):
+def require_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """``df`` with every key column checked for nulls while it is read."""
     checked = set(keys)
     return df.select(

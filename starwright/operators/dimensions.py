@@ -14,11 +14,14 @@ from starwright.storage import written
 Columns = Sequence[str] | Mapping[str, str]
 
 
+def renames(columns: Columns) -> dict[str, str]:
+    """Source name -> new name, in order."""
+    return dict(columns) if isinstance(columns, Mapping) else {name: name for name in columns}
+
+
 def pick(df: DataFrame, columns: Columns) -> DataFrame:
     """Select columns in order; a mapping (source name -> new name) renames them."""
-    if isinstance(columns, Mapping):
-        return df.select(*[F.col(source).alias(name) for source, name in columns.items()])
-    return df.select(*columns)
+    return df.select(*[F.col(source).alias(name) for source, name in renames(columns).items()])
 
 
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,7 +61,7 @@ def _extreme_per_key(
     df: DataFrame, keys: Sequence[str], positions: Sequence[Column], columns: Columns, pick_one
 ) -> DataFrame:
     """One row per key by an aggregate over (position, other columns)."""
-    renamed = dict(columns) if isinstance(columns, Mapping) else {name: name for name in columns}
+    renamed = renames(columns)
     others = [name for name in renamed if name not in keys]
     row = F.struct(
         *[position.alias(f"_position_{i}") for i, position in enumerate(positions)], *others

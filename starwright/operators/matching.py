@@ -14,21 +14,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starwright.operators.dimensions import with_keys
+from starwright.operators.dimensions import Columns, renames, with_keys
 
 
 def match_catalog(
     rows: DataFrame,
     catalog: DataFrame,
     on: Mapping[str, str],
-    bring: Sequence[str] | Mapping[str, str],
+    bring: Columns,
     how: str,
 ) -> DataFrame:
     """Equi-join ``rows`` to ``catalog`` and bring in some catalog columns.
 
     ``on`` maps columns of ``rows`` to columns of ``catalog``, of the same
-    types (a float never equals its double). Duplicate catalog keys fan out, as in any join. ``how`` is ``inner`` or ``left``;
-    with ``left`` unmatched rows stay, with nulls.
+    types (a float never equals its double). Duplicate catalog keys fan out,
+    as in any join. ``how`` is ``inner`` or ``left``; with ``left`` unmatched
+    rows stay, with nulls.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
@@ -36,22 +37,25 @@ def match_catalog(
         types = rows.schema[ours].dataType, catalog.schema[theirs].dataType
         if types[0] != types[1]:
             raise ValueError(f"{ours} is {types[0]} but {theirs} is {types[1]}; cast one of them")
-    renamed = dict(bring) if isinstance(bring, Mapping) else {name: name for name in bring}
     keyed = catalog.select(
         *[F.col(theirs).alias(f"_on_{i}") for i, theirs in enumerate(on.values())],
-        *[F.col(source).alias(name) for source, name in renamed.items()],
+        *[F.col(source).alias(name) for source, name in renames(bring).items()],
     )
     equal = [rows[ours] == keyed[f"_on_{i}"] for i, ours in enumerate(on)]
     joined = rows.join(keyed, reduce(Column.__and__, equal), how)
     return joined.drop(*[f"_on_{i}" for i in range(len(on))])
 
 
-def match_inner(rows, catalog, on, bring) -> DataFrame:
+def match_inner(
+    rows: DataFrame, catalog: DataFrame, on: Mapping[str, str], bring: Columns
+) -> DataFrame:
     """Rows with a catalog match, one output row per match."""
     return match_catalog(rows, catalog, on, bring, "inner")
 
 
-def match_left(rows, catalog, on, bring) -> DataFrame:
+def match_left(
+    rows: DataFrame, catalog: DataFrame, on: Mapping[str, str], bring: Columns
+) -> DataFrame:
     """All rows; unmatched ones carry nulls in the brought columns."""
     return match_catalog(rows, catalog, on, bring, "left")
 

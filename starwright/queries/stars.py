@@ -8,6 +8,7 @@ lengths than the plays, so that some plays match nothing.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,7 +123,6 @@ def _in_order(rows: DataFrame, order: list[str]) -> DataFrame:
 def _sources(t: Tables) -> tuple[str, str]:
     """Both as JSON files; the log in the order of time, so that load order is defined."""
 
-
     def write(root: str) -> None:
         write_json(_in_order(_catalog(t), ["song_id"]), f"{root}/songs")
         write_json(_in_order(_log(t), LOG_ORDER), f"{root}/log/2024")
@@ -328,17 +328,15 @@ def upsert_star_twice(t: Tables) -> DataFrame:
         "songplays": "songplay_id", "users": "user_id", "songs": "song_id",
         "artists": "artist_id", "time": "start_time",
     }
-    counts = [
+    counts = (
         tables[name].agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("n_rows"),
             F.countDistinct(key).alias("n_keys"),
         )
         for name, key in keys.items()
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(
-        counts[3]
-    ).unionByName(counts[4])
+    )
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(UPSERT_USERS_SQL)
@@ -417,9 +415,7 @@ def interval_star_time(t: Tables) -> DataFrame:
 
 def _last_per_key_sql(key: str, columns: str) -> str:
     """Last row per key in the order the CSV files hold."""
-    order = ", ".join(
-        f"{name.strip()} DESC" for name in FILE_ORDER_SQL.split(",")
-    )
+    order = ", ".join(f"{name.strip()} DESC" for name in FILE_ORDER_SQL.split(","))
     return f"""SELECT {columns} FROM (SELECT *, row_number() OVER
       (PARTITION BY {key} ORDER BY {order}) AS rn FROM log) t WHERE rn = 1"""
 
