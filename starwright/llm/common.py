@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -88,4 +87,6 @@ def distinct_name(base: str, taken: Iterable[str]) -> str:
     return base
 
 
-PLAIN = re.compile(rb"[\x00-\x7f]*")
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most so many rows; beyond, Spark shuffles."""
+    return F.broadcast(df) if df.count() <= rows else df

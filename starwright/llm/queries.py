@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, quality
+from . import bpe, decontamination, language_id, quality
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,46 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontamination.contamination(docs, benchmark).drop("h")
+
+
+SQL["op6_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), w AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i + 1 : i + n], ' ') AS gram FROM (
+    SELECT item_id, ws, least(13, len(ws)) AS n, unnest(range(0, greatest(len(ws) - 12, 1))) AS i
+    FROM b WHERE len(ws) > 0)
+), g AS (
+  SELECT doc_id, n, i, array_to_string(ws[i + 1 : i + n], ' ') AS gram FROM (
+    SELECT doc_id, ws, n, unnest(range(0, greatest(len(ws) - n + 1, 0))) AS i
+    FROM d, (SELECT DISTINCT n FROM w))
+), o AS (
+  SELECT doc_id, item_id, n, i FROM g JOIN w USING (n, gram)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM o) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM o) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 @query
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
