@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,9 +20,27 @@ ARROW = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="starwright-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the library, and Arrow batches small enough for long texts."""
+    """Session settings of the library, its code on the workers, and Arrow batches small enough for long texts."""
     prepare_session(spark)
+    ship(spark)
     for key, value in ARROW.items():
         spark.conf.set(key, value)
     return spark

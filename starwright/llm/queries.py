@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_id, quality
+from . import bpe, decontamination, jaccard_join, language_id, quality
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,36 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+@query
+def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.duplicates(table(spark, folder, "documents"))
+
+
+SQL["op7_ngram_jaccard"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i + 1 : i + 5], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(0, greatest(len(ws) - 4, 1))) AS i FROM d WHERE len(ws) > 0)
+), c AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS same FROM s x JOIN s y USING (gram)
+  WHERE x.doc_id <> y.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN c ca ON ca.doc_id = a JOIN c cb ON cb.doc_id = b
+  WHERE 100 * same >= 80 * (ca.n + cb.n - same)
+), r(a, b) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN c USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) USING (doc_id)
+"""
+
+
 @query
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
