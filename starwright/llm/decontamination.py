@@ -2,10 +2,11 @@
 
 ``index`` stores a posting (document, position, term) for every corpus token
 that is a term of the benchmark, and one row without a term for each document.
-``occurrences`` takes each benchmark window's two rarest terms, shifts their
-posting lists by the terms' offsets in the item and intersects them: what is
-left are (document, item, shift) alignments. Each alignment's other terms are
-then looked up in the postings, and runs of ``WINDOW`` matches are hits.
+``occurrences`` takes each benchmark window's ``RAREST`` rarest terms, shifts
+their posting lists by the terms' offsets in the item and intersects them: what
+is left are (document, item, shift) alignments that have all of these terms of
+some window. Each alignment's other terms are then looked up in the postings,
+and runs of ``WINDOW`` matches are hits.
 
 No list of documents is ever gathered: hot terms are split by the shuffles on
 (document, position), and what is broadcast is bounded in rows.
@@ -22,6 +23,10 @@ from .common import bounded
 
 #: Consecutive item words that make a window; a shorter item is one window.
 WINDOW = 13
+#: Lists that are intersected for each window, the rarest term's first.
+RAREST = 4
+#: Classes of documents that a broadcast filter tells apart.
+BUCKETS = 1 << 18
 #: Benchmark vocabularies up to this size are joined by broadcast, larger ones by shuffle.
 BROADCAST_TERMS = 1 << 18
 #: What separates words; capitals are letters here, and are lowered word by word.
@@ -69,7 +74,10 @@ def index(docs: DataFrame, vocabulary: DataFrame, doc: str = "doc_id", text: str
 
 
 def _rarest(placed: DataFrame, counts: DataFrame) -> DataFrame:
-    """(ik, w, ipos, term, nth): each window's rarest two terms; windows with a term that no document has are left out."""
+    """(ik, w, seeds) of each window: its rarest terms as an array of (df, ipos, term), the rarest first.
+
+    Windows with a term that no document has are left out.
+    """
     width = F.least(F.col("n"), F.lit(WINDOW))
     first = F.greatest(F.col("ipos") - width + 1, F.col("from"))
     last = F.least(F.col("ipos"), F.col("from") + F.col("n") - width)
@@ -77,12 +85,11 @@ def _rarest(placed: DataFrame, counts: DataFrame) -> DataFrame:
     members = placed.withColumn("w", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
     members = members.join(counts, "term", "left")
     best = members.groupBy("ik", "w").agg(
-        F.sort_array(F.collect_list(F.struct("df", "ipos", "term"))).alias("by"), F.count("df").alias("present"), F.count("*").alias("all")
+        F.sort_array(F.collect_list(F.struct("df", "ipos", "term"))).alias("by"),
+        F.count("df").alias("present"),
+        F.count("*").alias("all"),
     )
-    # Nulls sort first, so a window is whole if its first count is not null.
-    best = best.where("present = all")
-    pick = F.explode(F.array(F.struct(F.lit(1).alias("nth"), F.col("by")[0].alias("x")), F.struct(F.lit(2).alias("nth"), F.element_at("by", F.least(F.size("by"), F.lit(2))).alias("x"))))
-    return best.select("ik", pick.alias("p")).select("ik", "p.nth", "p.x.ipos", "p.x.term").distinct()
+    return best.where("present = all").select("ik", "w", F.slice("by", 1, RAREST).alias("seeds"))
 
 
 def occurrences(postings: DataFrame, placed: DataFrame) -> DataFrame:
@@ -92,18 +99,24 @@ def occurrences(postings: DataFrame, placed: DataFrame) -> DataFrame:
     """
     lists = postings.where(F.col("term").isNotNull()).select("id", "h", "pos", "term")
     counts = lists.groupBy("term").agg(F.count("*").alias("df"))
-    seeds = written(_rarest(placed, counts), "seeds")
-    at = lists.join(bounded(seeds, BROADCAST_TERMS), "term").select(
-        "id", "h", "ik", (F.col("pos") - F.col("ipos")).alias("shift"), "nth"
+    windows = written(_rarest(placed, counts), "windows")
+    seeds = windows.select("ik", F.explode("seeds").alias("s")).select("ik", "s.ipos", "s.term").distinct()
+    at = lists.join(bounded(written(seeds, "seeds"), BROADCAST_TERMS), "term").select(
+        "id", "h", "ik", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos"
     )
-    # In both offset-adjusted lists: of a rarest term and of a second rarest.
-    both = at.groupBy("id", "h", "ik", "shift").agg(F.bit_or("nth").alias("lists"))
-    aligned = written(both.where("lists = 3").drop("lists"), "alignments")
+    # The offset-adjusted lists meet; most alignments have one term and no window of one.
+    least = windows.groupBy("ik").agg(F.min(F.size("seeds")).alias("least"))
+    both = at.groupBy("id", "h", "ik", "shift").agg(F.collect_set("ipos").alias("has"))
+    both = both.join(bounded(written(least, "least"), BROADCAST_TERMS), "ik").where(F.size("has") >= F.col("least"))
+    needed = windows.select("ik", F.col("seeds.ipos").alias("needed"))
+    aligned = both.join(bounded(needed, BROADCAST_TERMS), "ik")
+    aligned = aligned.where(F.size(F.array_except("needed", "has")) == 0)
+    aligned = written(aligned.select("id", "h", "ik", "shift").distinct(), "alignments")
 
     wanted = aligned.join(bounded(placed, BROADCAST_TERMS), "ik")
     wanted = wanted.select("id", "h", "ik", "item_id", "n", "shift", "ipos", "term", (F.col("shift") + F.col("ipos")).alias("pos"))
-    # Postings of other documents drop out before the shuffle: at most 2^16 buckets of hashes are broadcast.
-    bucket = F.pmod(F.col("h"), F.lit(1 << 16))
+    # Postings of other documents drop out before the shuffle: at most BUCKETS hashes of hashes are broadcast.
+    bucket = F.pmod(F.col("h"), F.lit(BUCKETS)).cast("int")
     near = lists.withColumn("bucket", bucket).join(F.broadcast(aligned.select(bucket.alias("bucket")).distinct()), "bucket", "left_semi")
     near = near.select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("pos").alias("_pos"), F.col("term").alias("_term"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")) & (F.col("pos") == F.col("_pos")) & (F.col("term") == F.col("_term"))
