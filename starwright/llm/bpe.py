@@ -158,13 +158,17 @@ class Automaton:
     def _pack(path: list[int]) -> bytes:
         return struct.pack(f"<{len(path)}I", *path)
 
+    def encode_word_sequence(self, text: str) -> list[int]:
+        """The ids of a text without special strings."""
+        return np.frombuffer(self._encode_plain(text), "<u4").tolist()
+
     def _encode_plain(self, text: str) -> bytes:
         words = (ASCII_WORDS if text.isascii() else WORDS).findall(text)
         return b"".join([self.packed[w] for w in words])
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, text: str, special: bool = True) -> bytes:
         """The ids of a text, as little-endian unsigned 32-bit integers."""
-        if self.split is None:
+        if self.split is None or not special:
             return self._encode_plain(text)
         out, at = [], 0
         for found in self.split.finditer(text):
@@ -219,10 +223,23 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add the packed ids of every whole text, in 32 bits each; null texts are empty.
+#: The id of "<|endoftext|>" in the default vocabulary.
+END_OF_TEXT = 50256
+
+
+def narrowed(ids: bytes) -> bytes:
+    wide = np.frombuffer(ids, "<u4")
+    if len(wide) and wide.max() > 0xFFFF:
+        raise ValueError("ids need more than 16 bits")
+    return wide.astype("<u2").tobytes()
+
+
+def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", ids: str = "ids", width: int = 4, special: bool = True) -> DataFrame:
+    """Add the packed ids of every whole text, ``width`` bytes each; null texts are empty.
 
-    A column called ``ids`` is replaced; all others stay.
+    Two bytes need a vocabulary below 65,536 ids. Without ``special``, the
+    strings of special tokens are ordinary text. A column called ``ids`` is
+    replaced; all others stay.
     """
     definition = Definition(docs.sparkSession, vocabulary or default_vocabulary())
     others = [c for c in docs.columns if c.lower() != ids.lower()]
@@ -232,7 +249,9 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", i
     def apply(batches):
         automaton = definition.automaton()
         for batch in batches:
-            out = [automaton.encode(t or "") for t in batch.column(place).to_pylist()]
+            out = [automaton.encode(t or "", special) for t in batch.column(place).to_pylist()]
+            if width == 2:
+                out = [narrowed(x) for x in out]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*others, ids])
 
     return docs.mapInArrow(apply, f"{fields}, `{ids}` binary")

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, jaccard_join, language_id, quality
+from starwright.storage import scratch_dir
+
+from . import bpe, decontamination, embedding_dedup, jaccard_join, language_id, licenses, lm_scoring, quality, revisits, token_files
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +26,14 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
     return function
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 1
+    scored = lm_scoring.score(docs, docs.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
@@ -32,6 +42,65 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+@query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as flat token files, which are then scanned without an index."""
+    docs = table(spark, folder, "documents").select("text")
+    path = scratch_dir(spark, "token-files")
+    token_files.write(bpe.encode(docs, width=2, special=False), path, bpe.END_OF_TEXT)
+    counted = token_files.count(spark, path, bpe.END_OF_TEXT)
+    return counted.withColumn("file", F.regexp_extract("file", "[^/]*$", 0))
+
+
+@query
+def op4_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    resolved = revisits.resolve(revisits.captures_of(pages))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return resolved.withColumn("headers", F.array_join(lines, "\n"))
+
+
+SQL["op4_warc_revisits"] = r"""
+WITH b AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''),
+    '^[A-Za-z][A-Za-z0-9+.-]*://', ''),
+    '([?&])((utm_[A-Za-z]*|ref)=[^&]*&)*((utm_[A-Za-z]*|ref)=[^&]*)?', '\1', 'g'), '[?&]+$', '') AS bare
+  FROM pages
+), c AS (
+  SELECT *, regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), '^www\.', '')
+    || regexp_replace(regexp_replace(bare, '^[^/?]*', ''), '/$', '') AS url_key,
+    md5(coalesce(html, '')) AS tag, 'day ' || (page_id % 28) AS day, strlen(coalesce(html, '')) AS size
+  FROM b
+), v AS (
+  SELECT 2 * page_id + 1 AS capture_id, url_key, 10 * page_id + 5 + (page_id * 37 % 1000) * 10 AS ts,
+    CASE WHEN page_id % 8 < 4 THEN tag WHEN page_id % 8 = 4 THEN 'W/' || tag WHEN page_id % 8 = 5 THEN 'old' END AS etag,
+    CASE WHEN page_id % 8 = 6 THEN day END AS modified
+  FROM c
+), r AS (
+  SELECT 2 * page_id AS capture_id, url_key, 10 * page_id AS ts, tag, day, size FROM c
+), j AS (
+  SELECT v.*, r.capture_id AS response, r.tag, r.day, r.size,
+    CASE WHEN r.capture_id IS NULL THEN 'no response'
+      WHEN v.etag IS NULL AND v.modified IS NULL THEN 'no validator'
+      WHEN v.etag IS NOT NULL AND regexp_replace(v.etag, '^W/', '') = r.tag THEN 'resolved'
+      WHEN v.etag IS NULL AND v.modified = r.day THEN 'resolved' ELSE 'mismatch' END AS state
+  FROM v ASOF LEFT JOIN r ON v.url_key = r.url_key AND v.ts >= r.ts
+)
+SELECT capture_id, url_key, CASE WHEN state = 'resolved' THEN response END AS refers_to, state,
+  CASE WHEN state = 'resolved' THEN
+    'cache-control: max-age=60' || chr(10) || 'content-length: ' || size || chr(10) || 'content-type: text/html' || chr(10)
+    || 'date: ' || ts || chr(10) || 'etag: ' || coalesce(etag, tag) || chr(10) || 'last-modified: ' || day
+  ELSE 'cache-control: max-age=60' || chr(10) || 'content-length: 0' || chr(10) || 'date: ' || ts
+    || coalesce(chr(10) || 'etag: ' || etag, '') || coalesce(chr(10) || 'last-modified: ' || modified, '') END AS headers
+FROM j
+"""
+
+
+@query
+def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.duplicates(table(spark, folder, "embeddings"))
+
+
 @query
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -116,6 +185,46 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def _license_sql() -> str:
+    quoted = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in licenses.TEMPLATES.items())
+    return rf"""
+WITH t(license_id, text) AS (VALUES {quoted}),
+u AS (
+  SELECT doc_id, 0 AS unit, text FROM documents
+  UNION ALL
+  SELECT doc_id, unit, line FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS unit
+    FROM documents WHERE contains(text, chr(10)))
+), w AS (
+  SELECT doc_id, unit, regexp_extract_all({_LOWERED}, '[a-z0-9]+') AS ws FROM u
+), b AS (
+  SELECT DISTINCT doc_id, unit, ws[i] || ' ' || ws[i + 1] AS gram
+  FROM (SELECT doc_id, unit, ws, unnest(range(1, len(ws))) AS i FROM w)
+), tb AS (
+  SELECT DISTINCT license_id, ws[i] || ' ' || ws[i + 1] AS gram
+  FROM (SELECT license_id, ws, unnest(range(1, len(ws))) AS i
+    FROM (SELECT license_id, regexp_extract_all({_LOWERED}, '[a-z0-9]+') AS ws FROM t))
+), m AS (
+  SELECT doc_id, unit, license_id, 2 * count(*) / (any_value(n) + any_value(k)) AS dice
+  FROM b JOIN tb USING (gram)
+  JOIN (SELECT doc_id, unit, count(*) AS n FROM b GROUP BY ALL) USING (doc_id, unit)
+  JOIN (SELECT license_id, count(*) AS k FROM tb GROUP BY ALL) USING (license_id)
+  GROUP BY doc_id, unit, license_id
+)
+SELECT doc_id, license_id, max(dice) AS dice, count(*) AS n_units, min(unit) AS first_line
+FROM m WHERE dice >= {licenses.LEAST_DICE} GROUP BY doc_id, license_id
+"""
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL["op9_license_scan"] = _license_sql()
+
+
 @query
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
