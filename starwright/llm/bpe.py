@@ -158,9 +158,12 @@ class Automaton:
     def _pack(path: list[int]) -> bytes:
         return struct.pack(f"<{len(path)}I", *path)
 
-    def encode_word_sequence(self, text: str) -> list[int]:
-        """The ids of a text without special strings."""
-        return np.frombuffer(self._encode_plain(text), "<u4").tolist()
+    def spell(self, word: bytes) -> list[int]:
+        """The ids of one word of a text, after a space; nothing is kept for the next time."""
+        if word.isalpha():  # ASCII letters: one piece
+            return self.encode_word(b" " + word)
+        pieces = WORDS.findall(" " + word.decode("utf-8", "replace"))
+        return [i for piece in pieces for i in self.encode_word(piece.encode())]
 
     def _encode_plain(self, text: str) -> bytes:
         words = (ASCII_WORDS if text.isascii() else WORDS).findall(text)
