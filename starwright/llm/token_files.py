@@ -70,7 +70,7 @@ def count(spark: SparkSession, path: str, separator: int, width: int = 2, block:
     blocks = _blocks(spark, path, block // width * width).repartition(F.col("file"), F.col("block"))
     found = blocks.mapInArrow(_read(separator, width), "file string, block long, n long, ends array<long>")
     found = written(found, "separators")
-    last = F.element_at("ends", -1)
+    last = F.try_element_at("ends", F.lit(-1))
     sums = found.select(
         "file", "block", "n", F.size("ends").cast("long").alias("docs"),
         F.when(F.size("ends") > 0, F.col("block") * (block // width) + last + 1).alias("after"),
