@@ -143,7 +143,7 @@ def numbered(df: DataFrame, id_column: str, start: int = 1) -> DataFrame:
         .select("_part", before.alias("_offset"))
     )
     return (
-        rows.join(F.broadcast(offsets), "_part")  # one row per partition of the write
+        rows.join(offsets, "_part")  # one row per partition of the write
         .withColumn(id_column, F.col("_offset") + F.col("_place") + F.lit(start).cast("long"))
         .drop("_part", "_place", "_offset")
     )

@@ -66,14 +66,15 @@ def build(
     log_path: str,
     output: str,
     *,
-    song_partitions: Sequence[str] = ("year", "artist_id"),
-    small_table_files: int = 5,
+    song_partitions: Sequence[str] = ("year",),
+    small_table_files: int | None = None,
 ) -> dict[str, DataFrame]:
     """Read both JSON trees once, write the five tables, return them read back.
 
     The JSON is parsed once and kept as columns, of which each table then
-    reads only its own. ``song_partitions`` can be narrowed for catalogs whose
-    (year, artist) pairs would make too many directories.
+    reads only its own. ``song_partitions`` may add "artist_id" for small
+    catalogs: each artist is then a directory. ``small_table_files`` limits the
+    files, and so the tasks, that write artists and users.
     """
     with intermediates(spark):
         catalog = written(read_json(spark, songs_path, SONG, recursive=True), "catalog")

@@ -23,7 +23,7 @@ class Tables:
     A table's schema is read from its files once and given after that.
     """
 
-    _schemas: dict[str, T.StructType] = {}
+    _schemas: dict[tuple[str, str], T.StructType] = {}
     _sources: dict[tuple[str, str, str], str] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -32,9 +32,10 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        if path not in self._schemas:
-            self._schemas[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(self._schemas[path]).parquet(path)
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in self._schemas:
+            self._schemas[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[key]).parquet(path)
 
     def source_files(self, label: str, write: Callable[[str], None]) -> str:
         """Files derived from the tables that builds read, written once per application."""

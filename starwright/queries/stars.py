@@ -197,7 +197,7 @@ def lake_songplays(t: Tables) -> DataFrame:
 def lake_star_files(t: Tables) -> DataFrame:
     """The whole build from JSON to partitioned parquet; the fact read back."""
     output = scratch_dir(t.spark, "lake")
-    tables = lake.build(t.spark, *_sources(t), output, song_partitions=["year"])
+    tables = lake.build(t.spark, *_sources(t), output)
     return _as_plain(tables["songplays"])
 
 
@@ -206,7 +206,7 @@ def lake_star_files(t: Tables) -> DataFrame:
 
 def _warehouse_staging(t: Tables) -> tuple[DataFrame, DataFrame]:
     events = coerce_to_schema(map_fields(_log(t), warehouse.EVENT_FIELDS), WAREHOUSE_EVENTS)
-    return events, coerce_to_schema(_catalog(t), WAREHOUSE_SONGS, warehouse.SONG_WIDTHS)
+    return events, coerce_to_schema(_catalog(t), WAREHOUSE_SONGS)
 
 
 @query(

@@ -15,7 +15,8 @@ SETTINGS = {
 }
 
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+SHUFFLE_PARTITION_BYTES = 2 * 1024**3
+MOST_SHUFFLE_PARTITIONS = 20_000
 
 
 def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -25,10 +26,14 @@ def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession
     settings matter for skew: joins split hot partitions and rebalanced writes
     split hot partition values. AQE merges small shuffle partitions but does
     not cut large ones in general, so for large inputs ``input_bytes`` sets how
-    many to start from.
+    many to start from: one for each 2 GiB of input, 20,000 at most. With
+    50,000 map tasks that is 10^9 blocks, some 150 kB of sizes a map task and
+    2 GB before compression on the driver; beyond it, 100 TB make 5 GB
+    partitions, of which a shuffle of some columns holds a fraction and spills
+    the rest. A cluster that needs more sets the option itself.
     """
     if input_bytes is not None:
-        wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+        wanted = min(-(-input_bytes // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
         partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     for key, value in SETTINGS.items():

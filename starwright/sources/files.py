@@ -26,7 +26,10 @@ def load_order() -> Column:
 
 
 def _rendered(path: str, params: Mapping[str, object] | None) -> str:
-    return path.format(**params) if params else path
+    """The path with each ``{name}`` of a parameter filled in; other braces are globs."""
+    for name, value in (params or {}).items():
+        path = path.replace("{" + name + "}", str(value))
+    return path
 
 
 def _finish(df: DataFrame, with_load_order: bool, partitions: int | None) -> DataFrame:

@@ -30,7 +30,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master == "local" or master.startswith("local["):
         return _local_root()
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 

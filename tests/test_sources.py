@@ -154,3 +154,10 @@ def test_stage_table(spark, database, tmp_path):
     with pytest.raises(ValueError, match="is_json or is_csv"):
         stage_table(spark, table, str(tmp_path), source)
     assert spark.table(table).count() == 1
+
+
+def test_only_named_placeholders_are_filled():
+    from starwright.sources.files import _rendered
+
+    assert _rendered("logs/{year}/{a,b}*.json", {"year": 2018}) == "logs/2018/{a,b}*.json"
+    assert _rendered("logs/{year}", None) == "logs/{year}"

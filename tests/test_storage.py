@@ -46,5 +46,12 @@ def test_prepare_sizes_the_shuffle(spark, conf):
     conf(adaptive__coalescePartitions__initialPartitionNum="8")
     prepare(spark, input_bytes=10**12)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert int(spark.conf.get(key)) == 7451
+    assert int(spark.conf.get(key)) == 466
+    prepare(spark, input_bytes=100 * 10**12)
+    assert int(spark.conf.get(key)) == 20_000
     assert all(spark.conf.get(name) == value for name, value in SETTINGS.items())
+
+
+def test_local_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(_Session(spark_master="local-cluster[2,1,1024]"))
