@@ -14,18 +14,32 @@ def python_literal(text: Column) -> Column:
     """Value of a Python literal held as text, as a string.
 
     ``u'free'`` and ``'free'`` give ``free``; ``True``/``False`` give
-    ``true``/``false``; numbers stay as written; ``None``, empty and anything
-    that is not a literal give null. Nothing is evaluated.
+    ``true``/``false``; numbers stay as written, exponents included; ``None``,
+    empty and anything that is not a literal give null. Escapes in quoted text
+    are decoded. Nothing is evaluated.
     """
     trimmed = F.trim(text)
     quoted = r"""(?s)^[uU]?(['"])(.*)\1$"""
+    number = r"^[-+]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][-+]?[0-9]+)?$"
     return (
-        F.when(trimmed.rlike(quoted), F.regexp_extract(trimmed, quoted, 2))
+        F.when(trimmed.rlike(quoted), _unescaped(F.regexp_extract(trimmed, quoted, 2)))
         .when(trimmed.isin("True", "False"), F.lower(trimmed))
-        .when(trimmed.rlike(r"^[-+]?[0-9]+(\.[0-9]*)?$"), trimmed)
+        .when(trimmed.rlike(number), trimmed)
     )
 
 
+def _unescaped(inner: Column) -> Column:
+    """Decode backslash escapes, as those of a JSON string; unknown ones keep their backslash."""
+    free = r"(?<!\\)((?:\\\\)*)"  # as many backslashes before as pair up
+    as_json = F.regexp_replace(inner, free + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    as_json = F.regexp_replace(as_json, free + r"\\'", "$1'")
+    as_json = F.regexp_replace(as_json, free + r"\\(?![\\\"bfnrtu])", r"$1\\\\")
+    as_json = F.regexp_replace(as_json, free + r'"', r'$1\\"')
+    in_list = F.concat(F.lit('["'), as_json, F.lit('"]'))
+    decoded = F.from_json(in_list, "array<string>", {"allowUnquotedControlChars": "true"})
+    return F.when(F.contains(inner, F.lit("\\")), decoded.getItem(0)).otherwise(inner)
+
+
 def python_flags(text: Column, names: Sequence[str]) -> Column:
     """Text of a Python dict of booleans to a struct with one field per name.
 
@@ -34,7 +48,7 @@ def python_flags(text: Column, names: Sequence[str]) -> Column:
     schema = T.StructType([T.StructField(name, T.BooleanType()) for name in names])
     as_json = F.regexp_replace(text, r"\b[uU](?=['\"])", "")
     for literal, value in (("True", "true"), ("False", "false"), ("None", "null")):
-        as_json = F.replace(as_json, F.lit(literal), F.lit(value))
+        as_json = F.regexp_replace(as_json, rf"(:\s*){literal}(?=\s*[,}}])", f"$1{value}")
     return F.from_json(as_json, schema, {"allowSingleQuotes": "true"})
 
 

@@ -17,9 +17,11 @@ from starwright.operators.dimensions import numbered
 from starwright.operators.intervals import interval_slice, semimonthly_bounds
 from starwright.operators.merges import merged_rows, rows_to_insert
 from starwright.sinks.files import laid_out
-from starwright.storage import remove
+from starwright.storage import folders, remove
 
 RUN_COLUMN = "load_until"
+#: Between a table's first directory and the name of a later version.
+VERSION = "__v-"
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> str:
@@ -37,8 +39,22 @@ def create_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema.toDDL()}) USING parquet{partitioned}")
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return details.filter(F.col("col_name") == "Location").first()["data_type"].rstrip("/")
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop a table with all versions of its files that ``replace_contents`` has left."""
+    root = None
+    if spark.catalog.tableExists(table.replace("`", "")):
+        current = _location(spark, table)
+        root = current.split(VERSION)[0] if VERSION in current else None
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if root:
+        remove(spark, root)
+        for version in folders(spark, f"{root}{VERSION}*"):
+            remove(spark, version)
 
 
 def recreate_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
@@ -102,23 +118,28 @@ def replace_fact_interval(
     )
 
 
+def _name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def replace_contents(df: DataFrame, table: str, *, keep_previous: bool = True) -> None:
     """Point a table to a new version of its files; may read the table itself.
 
     Parquet files cannot be overwritten while they are read, so the rows go
     into a new directory and the table moves there once all of it is written.
     The directory before it stays, for readers still on it, unless
-    ``keep_previous`` is off.
+    ``keep_previous`` is off; those before that go.
     """
     spark = df.sparkSession
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    current = details.filter(F.col("col_name") == "Location").first()["data_type"].rstrip("/")
-    version = f"{current.split('__v-')[0]}__v-{uuid.uuid4().hex}"
+    current = _location(spark, table)
+    root = current.split(VERSION)[0]
+    version = f"{root}{VERSION}{uuid.uuid4().hex}"
+    older = [x for x in (root, *folders(spark, f"{root}{VERSION}*")) if _name(x) != _name(current)]
     positional(df, spark.table(table).schema).write.parquet(version)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
     spark.catalog.refreshTable(table)
-    if not keep_previous:
-        remove(spark, current)
+    for past in older if keep_previous else [*older, current]:
+        remove(spark, past)
 
 
 def upsert_ignore(new: DataFrame, table: str, keys: Sequence[str], order: Sequence[str]) -> None:

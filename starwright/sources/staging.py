@@ -90,7 +90,7 @@ def stage_table(
 
     The files are read under ``schema``, ``fields`` maps them to the table's
     columns (by default same name for JSON, same position for CSV), and values
-    are coerced to the table's types.
+    are coerced to the table's types. Columns that the JSON files lack are null.
     """
     if is_json:
         rows = read_json(spark, path, schema, recursive=recursive, params=params)
@@ -103,6 +103,10 @@ def stage_table(
     target = spark.table(table).schema
     if fields:
         rows = map_fields(rows, fields)
+    elif is_json:
+        present = {name.lower() for name in rows.columns}
+        absent = [f for f in target.fields if f.name.lower() not in present]
+        rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
     elif is_csv and not is_json:
         rows = rows.toDF(*target.names)
     truncate_load(coerce_to_schema(rows, target, widths), table)

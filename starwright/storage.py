@@ -67,6 +67,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob."""
+    folder, files = _folder(spark, pattern)
+    return [str(x.getPath()) for x in files.globStatus(folder) or []]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds."""
     folder, files = _folder(spark, path)

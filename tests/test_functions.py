@@ -24,6 +24,18 @@ def test_python_literal(spark):
     assert values(spark, given, "string", cleaning.python_literal(x())) == expected
 
 
+def test_python_literal_escapes_and_exponents(spark):
+    literals = [r"u'caf\u00e9'", r"'it\'s'", r"'a\\b'", r"'say \"x\" \n'", r"'\x41\q'", '\'a"b\\tc\'', "1e5", "-.5E-3", "1e"]
+    expected = [eval(x) if "'" in x else x for x in literals[:6]] + ["1e5", "-.5E-3", None]  # noqa: S307
+    assert values(spark, literals, "string", cleaning.python_literal(x())) == expected
+
+
+def test_python_flags_replace_values_only(spark):
+    flags = cleaning.python_flags(x(), ["True", "b"])
+    (row,) = values(spark, ["{'True': True, u'b': None}"], "string", flags)
+    assert (row["True"], row["b"]) == (True, None)
+
+
 def test_python_flags_and_priority(spark):
     names = ["romantic", "classy", "menu"]
     label = cleaning.first_true_label(cleaning.python_flags(x(), names), names, "N/A")

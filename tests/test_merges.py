@@ -22,6 +22,7 @@ from starwright.sinks.tables import (
     upsert_ignore,
     upsert_update,
 )
+from starwright.storage import folders
 
 USERS = "id int, name string, level string, at int"
 COLUMNS = ["id", "name", "level"]
@@ -204,3 +205,18 @@ def test_merges_against_row_by_row_upserts(spark, seed):
     df = spark.createDataFrame(everything, USERS).repartition(7)
     got = keyed_last_write(df, ["id"], ["at"], COLUMNS)
     assert {row.id: (row.name, row.level) for row in got.collect()} == last
+
+
+def test_dropping_a_table_removes_all_its_versions(spark, database):
+    table, columns = f"{database}.versions", schema(id="int", v="int")
+    create_table(spark, table, columns)
+    append(spark.createDataFrame([(1, 1)], columns), table)
+    for v in (2, 3, 4):
+        batch = spark.createDataFrame([(1, v), (v, v)], columns)
+        upsert_update(batch, table, ["id"], ["v"], ["v"])
+    first = spark.table(table).inputFiles()[0].rsplit("/", 2)[0]
+    found = folders(spark, f"{first}/versions*")
+    assert len(found) == 2  # the present version and the one before
+    recreate_table(spark, table, columns)
+    assert spark.table(table).count() == 0 and len(folders(spark, f"{first}/versions*")) == 1
+    drop_table(spark, table)
