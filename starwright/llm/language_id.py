@@ -154,14 +154,19 @@ def compile_model(languages: list[str], symbol: np.ndarray, rows) -> LanguageMod
 def fit(labelled: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id", sample_rows: int = 500) -> LanguageModel:
     """Learn from whole texts of up to ``sample_rows`` rows of each language.
 
-    Rows whose text or language is null are left out. Without any row the
+    Rows whose text, language or key is null are left out. Without any row the
     model has no language.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull())
     rows = rows.select(F.col(language).alias("lang"), F.col(key).alias("id"), F.col(text).alias("text"))
+    ids = rows.where(F.col("id").isNotNull()).select("lang", "id")
+    sizes = written(ids.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")), "language-sizes")
+    # The lowest hashes are chosen; of a frequent language, rows far above them need not be sorted.
+    place = F.xxhash64("id") / F.lit(2.0**64) + 0.5
+    low = ids.join(sizes, "lang").where(place * F.col("n") <= 4 * sample_rows).select("lang", "id").distinct()
     by = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("lang", "id").withColumn("k", F.row_number().over(by)).where(F.col("k") <= sample_rows)
-    chosen = written(chosen.select("lang", "id").distinct(), "language-ids")
+    chosen = low.withColumn("k", F.row_number().over(by)).where(F.col("k") <= sample_rows)
+    chosen = written(chosen.select("lang", "id"), "language-ids")
     sample = written(rows.join(chosen, ["lang", "id"], "left_semi").select("lang", "text"), "language-sample")
     languages = sorted(r[0] for r in chosen.select("lang").distinct().collect())
     frequent = sample.mapInArrow(_histogram, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()

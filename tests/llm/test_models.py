@@ -100,3 +100,23 @@ def test_base_scores_and_edges(docs):
     assert (got[3]["n_tokens"], got[3]["n_known"], got[3]["train_tokens"]) == (3, 2, 5)
     assert got[2]["n_tokens"] == 1 and got[2]["score"] < 0
     assert lm_scoring.score(docs([(1, "x")]), docs([])).first()["n_known"] == 0
+
+
+def test_share_of_earlier_words():
+    tokens = np.array([7, 3, 7, 7, 3], np.uint64)
+    np.testing.assert_allclose(lm_scoring.earlier_share(tokens), [0, 0, 1 / 2, 2 / 3, 1 / 4])
+    assert len(lm_scoring.earlier_share(tokens[:0])) == 0
+
+
+def test_model_beats_base_on_held_out_documents(spark):
+    rows = [r for r in QUERIES["op1_lm_scoring"](spark, FOLDER).collect() if r["held_out"]]
+    score, base, n = (sum(r[c] for r in rows) for c in ("score", "base_score", "n_tokens"))
+    print("held out, log10 a token: model", score / n, "base", base / n)
+    assert score > base
+
+
+def test_language_sample_with_one_key_for_all(docs):
+    from pyspark.sql import functions as F
+
+    same = docs([(1, "the cat")] * 50 + [(None, "xyz")]).withColumn("lang", F.lit("en"))
+    assert language_id.predict(docs([(1, "the cat")]), language_id.fit(same, sample_rows=2)).first()["lang_pred"] == "en"
