@@ -161,3 +161,11 @@ def test_only_named_placeholders_are_filled():
 
     assert _rendered("logs/{year}/{a,b}*.json", {"year": 2018}) == "logs/2018/{a,b}*.json"
     assert _rendered("logs/{year}", None) == "logs/{year}"
+
+
+def test_json_load_fills_absent_fields_with_null(spark, database, tmp_path):
+    (tmp_path / "rows.json").write_text('{"a": 1}\n')
+    table = f"{database}.auto"
+    create_table(spark, table, schema(a="long", b="text", c="time"))
+    stage_table(spark, table, str(tmp_path), schema(a="long"), is_json=True)
+    assert [tuple(r) for r in spark.table(table).collect()] == [(1, None, None)]
