@@ -84,14 +84,21 @@ class Automaton:
             if a in self.id_of and b in self.id_of:
                 self._merge(rank, self.id_of[a], self.id_of[b], a + b, vocabulary[a + b])
         self.size = {i: len(x) for x, i in self.id_of.items()}
-        # The bytes of labels as a tree: node << 8 | byte to the next node, and the label that ends at a node.
+        # The bytes of labels as a tree: node | byte to the next node, a multiple of 256, and the label that ends at a node.
         self.step: dict[int, int] = {}
         self.ends: dict[int, int] = {}
         for word, i in self.id_of.items():
             node = 0
             for byte in word:
-                node = self.step.setdefault(node << 8 | byte, len(self.step) + 1)
+                node = self.step.setdefault(node | byte, len(self.step) + 1 << 8)
             self.ends[node] = i
+        # The longest label that a label begins with, or -1.
+        self.shorter: dict[int, int] = {}
+        for word, i in self.id_of.items():
+            node, self.shorter[i] = 0, -1
+            for byte in word[:-1]:
+                node = self.step[node | byte]
+                self.shorter[i] = self.ends.get(node, self.shorter[i])
         self.row = Memo(self._arc, MOST_TRANSITIONS)
         word_path, pack = self.encode_word, self._pack
         self.packed = Memo(lambda word: pack(word_path(word.encode())), MOST_WORDS)
@@ -124,34 +131,30 @@ class Automaton:
         Longer labels are tried first; a label that led nowhere is not tried
         again at its place, so the work is linear in the word's length.
         """
-        n, step, ends, row = len(word), self.step, self.ends, self.row
+        n, step, ends, row, size, shorter = len(word), self.step.get, self.ends.get, self.row, self.size, self.shorter
         path: list[int] = []
-        tried: list[list[int]] = []
         nowhere: set[int] = set()
-        at, state, choices = 0, -1, None
+        at, state = 0, -1
         while at < n:
-            if choices is None:  # the labels that begin here, the longest last
-                choices, node = [], 0
-                for byte in word[at:]:
-                    node = step.get(node << 8 | byte)
-                    if node is None:
-                        break
-                    if node in ends:
-                        choices.append(ends[node])
-            while choices:
-                label = choices.pop()
-                if (state < 0 or row[state << SHIFT | label]) and (not nowhere or at << SHIFT | label not in nowhere):
-                    path.append(label)
-                    tried.append(choices)
-                    at, state, choices = at + self.size[label], label, None
+            node, label = 0, -1  # the longest label that begins here
+            for byte in word[at:]:
+                node = step(node | byte)
+                if node is None:
+                    break
+                label = ends(node, label)
+            while True:
+                while label >= 0 and ((state >= 0 and not row[state << SHIFT | label]) or (nowhere and at << SHIFT | label in nowhere)):
+                    label = shorter[label]
+                if label >= 0:
                     break
-            else:
                 if not path:
                     raise ValueError(f"no labels spell {word!r}")
-                label, choices = path.pop(), tried.pop()
-                at -= self.size[label]
+                label = path.pop()
+                at -= size[label]
                 nowhere.add(at << SHIFT | label)
                 state = path[-1] if path else -1
+            path.append(label)
+            at, state = at + size[label], label
         return path
 
     @staticmethod
