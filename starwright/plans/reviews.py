@@ -17,10 +17,13 @@ from starwright.functions.cleaning import (
 )
 from starwright.functions.timeparts import text_to_timestamp
 from starwright.operators.dimensions import dimension_with_id
-from starwright.operators.matching import attach_dimension, match_inner
-from starwright.schemas import BUSINESS, REVIEW, user_schema
+from starwright.operators.matching import attach_dimension
+from starwright.operators.quality import non_empty_check
+from starwright.schemas import BUSINESS, REVIEW, review_star, user_schema
 from starwright.sinks.files import write_json
+from starwright.sinks.tables import create_table
 from starwright.sources.files import read_json
+from starwright.sources.staging import stage_table
 from starwright.storage import intermediates, written
 
 # Label priorities and the sentinel for "no label".
@@ -34,6 +37,12 @@ CATEGORIES = [
 ]
 NO_AMBIENCE = "N/A"
 NO_ALCOHOL = "none"
+# Loaded table -> file it comes from.
+FILES = {
+    "state": "state", "category": "category", "ambience": "ambience", "users": "user",
+    "business_reviews": "business_reviews",
+}
+BY_YEAR = {"partition_by": ["year"], "keep_partition_columns": True}
 BOOLEAN_ATTRIBUTES = {
     "take_credit_cards": "BusinessAcceptsCreditCards",
     "good_for_kids": "GoodForKids",
@@ -139,7 +148,6 @@ def build(
     """
     users = read_json(spark, f"{source}/user.json", user_schema(since))
     reviews = read_json(spark, f"{source}/review.json", REVIEW)
-    by_year = {"partition_by": ["year"], "keep_partition_columns": True}
     with intermediates(spark):
         business = read_json(spark, f"{source}/business.json", BUSINESS)
         clean = written(clean_business(business), "clean")
@@ -153,8 +161,8 @@ def build(
             "state": (state, {}),
             "category": (category, {}),
             "ambience": (ambience, {}),
-            "user": (user_dimension(users, since, as_of_year), by_year),
-            "business_reviews": (business_reviews(with_ids, reviews), by_year),
+            "user": (user_dimension(users, since, as_of_year), BY_YEAR),
+            "business_reviews": (business_reviews(with_ids, reviews), BY_YEAR),
         }
         for name, (table, layout) in tables.items():
             write_json(table, f"{output}/{name}.json", **layout)
@@ -162,3 +170,52 @@ def build(
         name: read_json(spark, f"{output}/{name}.json", table.schema).select(*table.columns)
         for name, (table, _) in tables.items()
     }
+
+
+DIMENSIONS = {
+    "state": state_dimension,
+    "category": category_dimension,
+    "ambience": ambience_dimension,
+}
+
+
+def refresh(
+    spark: SparkSession, source: str, output: str, name: str, *, since: str, as_of_year: int
+) -> None:
+    """Write one of the five JSON outputs again, reading only what it needs.
+
+    The fact takes its ids from the stored dimensions: refresh those first if
+    businesses have changed.
+    """
+    if name == "user":
+        users = read_json(spark, f"{source}/user.json", user_schema(since))
+        write_json(user_dimension(users, since, as_of_year), f"{output}/user.json", **BY_YEAR)
+        return
+    clean = clean_business(read_json(spark, f"{source}/business.json", BUSINESS))
+    with intermediates(spark):
+        if name in DIMENSIONS:
+            write_json(DIMENSIONS[name](clean), f"{output}/{name}.json")
+        elif name == "business_reviews":
+            stored = review_star(since)
+            state, category, ambience = (
+                read_json(spark, f"{output}/{dimension}.json", stored[dimension])
+                for dimension in DIMENSIONS
+            )
+            with_ids = written(business_with_ids(clean, category, ambience, state), "business")
+            reviews = read_json(spark, f"{source}/review.json", REVIEW)
+            write_json(
+                business_reviews(with_ids, reviews), f"{output}/business_reviews.json", **BY_YEAR
+            )
+        else:
+            raise ValueError(f"no output {name!r}")
+
+
+def load(spark: SparkSession, database: str, output: str, *, since: str) -> dict[str, DataFrame]:
+    """Create the typed tables, replace their rows by the JSON outputs, check the fact."""
+    for name, columns in review_star(since).items():
+        create_table(spark, f"{database}.{name}", columns)
+        stage_table(
+            spark, f"{database}.{name}", f"{output}/{FILES[name]}.json", columns, is_json=True
+        )
+    non_empty_check(spark, f"{database}.business_reviews")
+    return {name: spark.table(f"{database}.{name}") for name in FILES}

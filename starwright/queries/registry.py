@@ -25,6 +25,7 @@ class Tables:
 
     _schemas: dict[tuple[str, str], T.StructType] = {}
     _sources: dict[tuple[str, str, str], str] = {}
+    _built: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -46,6 +47,13 @@ class Tables:
             self._sources[key] = path
         return self._sources[key]
 
+    def built(self, label: str, build: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+        """The tables of a build that several queries read, built once per application."""
+        key = (self.spark.sparkContext.applicationId, self.folder, label)
+        if key not in self._built:
+            self._built[key] = build()
+        return self._built[key]
+
 
 REGISTRY: dict[str, Query] = {}
 

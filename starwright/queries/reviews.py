@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwright.plans import reviews as plan
-from starwright.queries.registry import Tables, query
+from starwright.queries.registry import REGISTRY, Tables, query
 from starwright.sinks.files import write_json
+from starwright.sinks.tables import create_database
 from starwright.storage import scratch_dir
 
 SINCE, AS_OF_YEAR = "member_since", 2024
@@ -158,6 +159,17 @@ def review_users(t: Tables) -> DataFrame:
     return plan.user_dimension(_users(t), SINCE, AS_OF_YEAR)
 
 
+def _sources(t: Tables) -> str:
+    """Businesses, reviews and users as JSON files."""
+
+    def write(path: str) -> None:
+        write_json(_business(t), f"{path}/business.json")
+        write_json(_reviews(t), f"{path}/review.json")
+        write_json(_users(t), f"{path}/user.json")
+
+    return t.source_files("review-sources", write)
+
+
 @query(
     f"""WITH {CLEAN_SQL}, {DIMENSIONS_SQL} SELECT business_id, is_open, review_count,
     CAST(business_stars AS DOUBLE) AS business_stars, alcohol, take_credit_cards, good_for_kids,
@@ -175,13 +187,58 @@ def review_users(t: Tables) -> DataFrame:
 )
 def review_warehouse(t: Tables) -> DataFrame:
     """The whole build from JSON documents; the fact read back from its files."""
-
-    def write(path: str) -> None:
-        write_json(_business(t), f"{path}/business.json")
-        write_json(_reviews(t), f"{path}/review.json")
-        write_json(_users(t), f"{path}/user.json")
-
-    source = t.source_files("review-sources", write)
+    source = _sources(t)
     output = scratch_dir(t.spark, "review-warehouse")
     tables = plan.build(t.spark, source, output, since=SINCE, as_of_year=AS_OF_YEAR)
     return tables["business_reviews"]
+
+
+# --- the loaded tables ----------------------------------------------------------------
+
+
+def _loaded(t: Tables) -> dict[str, DataFrame]:
+    """Every output built by a run of its own, dimensions first, and loaded into typed tables."""
+
+    def build() -> dict[str, DataFrame]:
+        source, output = _sources(t), scratch_dir(t.spark, "review-tasks")
+        for name in ("state", "category", "ambience", "user", "business_reviews"):
+            plan.refresh(t.spark, source, output, name, since=SINCE, as_of_year=AS_OF_YEAR)
+        location = scratch_dir(t.spark, "db")
+        database = create_database(t.spark, "starwright_" + location[-12:], location)
+        return plan.load(t.spark, database, output, since=SINCE)
+
+    return t.built("review-tables", build)
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """Whole-number decimals and 32-bit ids as long integers, for comparison."""
+    names = [
+        name for name, kind in df.dtypes
+        if kind == "decimal(18,0)" or name in ("state_id", "category_id", "ambience_id")
+    ]
+    return df.withColumns({name: F.col(name).cast("long") for name in names})
+
+
+@query(REGISTRY["review_warehouse"].sql)
+def review_loaded_facts(t: Tables) -> DataFrame:
+    return _plain(_loaded(t)["business_reviews"])
+
+
+@query(f"SELECT * EXCLUDE (year, month) FROM ({REGISTRY['review_users'].sql}) u")
+def review_loaded_users(t: Tables) -> DataFrame:
+    return _plain(_loaded(t)["users"])
+
+
+@query(REGISTRY["review_states"].sql)
+def review_loaded_states(t: Tables) -> DataFrame:
+    return _plain(_loaded(t)["state"])
+
+
+@query(REGISTRY["review_categories"].sql)
+def review_loaded_categories(t: Tables) -> DataFrame:
+    return _plain(_loaded(t)["category"])
+
+
+@query(REGISTRY["review_ambiences"].sql)
+def review_loaded_ambiences(t: Tables) -> DataFrame:
+    return _plain(_loaded(t)["ambience"])

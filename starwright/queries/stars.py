@@ -17,7 +17,7 @@ from starwright.operators.dimensions import pick
 from starwright.operators.matching import match_inner
 from starwright.operators.merges import keyed_last_write, merged_rows
 from starwright.plans import incremental, lake, lookups, upserts, warehouse
-from starwright.queries.registry import Tables, query
+from starwright.queries.registry import REGISTRY, Tables, query
 from starwright.schemas import (
     ACTIVITY_CSV,
     INCREMENTAL_EVENTS,
@@ -26,7 +26,7 @@ from starwright.schemas import (
     WAREHOUSE_EVENTS,
     WAREHOUSE_SONGS,
 )
-from starwright.sinks.files import write_json
+from starwright.sinks.files import write_json, write_parquet
 from starwright.sinks.tables import create_database
 from starwright.sources.files import LOAD_ORDER
 from starwright.sources.staging import coerce_to_schema, map_fields
@@ -492,3 +492,171 @@ def lookup_listeners(t: Tables) -> DataFrame:
         users, ["song", "user_id"], ["ts"], ["song", "user_id", "first_name", "last_name"]
     )
     return lookups.listeners(table, "red widget")
+
+
+# --- every table of the builds, read back from what they wrote ------------------------
+
+
+def _sql_of(name: str) -> str:
+    return REGISTRY[name].sql
+
+
+def _lake(t: Tables) -> dict[str, DataFrame]:
+    return t.built(
+        "lake", lambda: lake.build(t.spark, *_sources(t), scratch_dir(t.spark, "lake"))
+    )
+
+
+def _warehouse(t: Tables) -> dict[str, DataFrame]:
+    return t.built("warehouse", lambda: warehouse.build(t.spark, _database(t), *_sources(t)))
+
+
+def _upserts(t: Tables) -> dict[str, DataFrame]:
+    return t.built("upserts", lambda: upserts.build(t.spark, _database(t), *_sources(t)))
+
+
+def _intervals(t: Tables) -> dict[str, DataFrame]:
+    return t.built("intervals", lambda: _interval_runs(t))
+
+
+def _lookups(t: Tables) -> dict[str, DataFrame]:
+    return t.built(
+        "lookups", lambda: lookups.build(t.spark, _csv(t), scratch_dir(t.spark, "lookups"))
+    )
+
+
+@query(_sql_of("lake_songs"))
+def lake_star_songs(t: Tables) -> DataFrame:
+    return _lake(t)["songs"]
+
+
+@query(_sql_of("lake_songs"))
+def lake_songs_by_artist(t: Tables) -> DataFrame:
+    """The layout with a directory for each year and artist, read back."""
+    songs, path = lake.songs(_catalog(t)), scratch_dir(t.spark, "songs-by-artist")
+    write_parquet(songs, path, partition_by=["year", "artist_id"])
+    return t.spark.read.schema(songs.schema).parquet(path)
+
+
+@query(_sql_of("lake_artists"))
+def lake_star_artists(t: Tables) -> DataFrame:
+    return _lake(t)["artists"]
+
+
+@query(_sql_of("lake_users"))
+def lake_star_users(t: Tables) -> DataFrame:
+    return _lake(t)["users"]
+
+
+@query(_sql_of("lake_time"))
+def lake_star_time(t: Tables) -> DataFrame:
+    return _as_plain(_lake(t)["time"])
+
+
+@query(_sql_of("warehouse_users"))
+def warehouse_star_users(t: Tables) -> DataFrame:
+    return _as_plain(_warehouse(t)["users"])
+
+
+@query(_sql_of("warehouse_songs"))
+def warehouse_star_songs(t: Tables) -> DataFrame:
+    return _as_plain(_warehouse(t)["songs"])
+
+
+@query(_sql_of("warehouse_artists"))
+def warehouse_star_artists(t: Tables) -> DataFrame:
+    return _as_plain(_warehouse(t)["artists"])
+
+
+@query(_sql_of("warehouse_time"))
+def warehouse_star_time(t: Tables) -> DataFrame:
+    parts = dict.fromkeys(["hour", "day", "week", "month", "year", "weekday"], "int")
+    return _as_plain(_warehouse(t)["time"], **parts)
+
+
+@query(
+    f"""WITH {LOG_SQL}, {CATALOG_SQL}, {PLAYS_SQL} SELECT count(*) AS n_rows, count(*) AS n_ids
+    FROM plays JOIN catalog ON {WHOLE_MATCH_SQL}"""
+)
+def warehouse_star_serials(t: Tables) -> DataFrame:
+    """How many plays the build's fact has, and under how many ids."""
+    return _warehouse(t)["songplays"].agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("songplay_id").alias("n_ids")
+    )
+
+
+@query(
+    f"""WITH {CATALOG_SQL} SELECT song_id, title, artist_id, CAST(year AS INT) AS year, duration
+    FROM catalog"""
+)
+def upsert_star_songs(t: Tables) -> DataFrame:
+    return _upserts(t)["songs"]
+
+
+@query(
+    f"""WITH {CATALOG_SQL} SELECT artist_id, artist_name AS name, artist_location AS location,
+    CAST(artist_latitude AS DOUBLE) AS latitude, CAST(artist_longitude AS DOUBLE) AS longitude
+    FROM (SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY song_id) AS rn FROM catalog) c
+    WHERE rn = 1"""
+)
+def upsert_star_artists(t: Tables) -> DataFrame:
+    """Each artist as in the file that came first."""
+    return _upserts(t)["artists"]
+
+
+@query(
+    f"""WITH {LOG_SQL}, {PLAYS_SQL} SELECT DISTINCT start_time, {PARTS_SQL.format(n="INT")},
+    dayname(start_time) AS weekday FROM plays"""
+)
+def upsert_star_time(t: Tables) -> DataFrame:
+    return _as_plain(_upserts(t)["time"])
+
+
+@query(UPSERT_SONGPLAYS_SQL)
+def upsert_star_songplays(t: Tables) -> DataFrame:
+    facts = _upserts(t)["songplays"].drop("songplay_id")
+    return _as_plain(facts, user_id="long", session_id="long")
+
+
+@query(
+    f"""WITH {CATALOG_SQL} SELECT DISTINCT song_id AS songid, title, artist_id AS artistid,
+    CAST(year AS INT) AS year, CAST(trunc(duration) AS BIGINT) AS duration FROM catalog"""
+)
+def interval_star_songs(t: Tables) -> DataFrame:
+    return _as_plain(_intervals(t)["songs"])
+
+
+@query(
+    f"""WITH {CATALOG_SQL} SELECT DISTINCT artist_id AS artistid, artist_name AS name,
+    artist_location AS location, CAST(trunc(artist_latitude) AS BIGINT) AS latitude,
+    CAST(trunc(artist_longitude) AS BIGINT) AS longitude FROM catalog"""
+)
+def interval_star_artists(t: Tables) -> DataFrame:
+    return _as_plain(_intervals(t)["artists"])
+
+
+@query(
+    f"""WITH {LOG_SQL} SELECT DISTINCT "userId" AS userid, "firstName" AS first_name,
+    "lastName" AS last_name, gender, level FROM log WHERE page = 'NextSong'"""
+)
+def interval_star_users(t: Tables) -> DataFrame:
+    return _as_plain(_intervals(t)["users"], userid="long")
+
+
+@query(
+    f"""WITH {LOG_SQL} {_last_per_key_sql('song, "userId"', '''song, CAST("userId" AS INT) AS user_id,
+    "firstName" AS first_name, "lastName" AS last_name''')}"""
+)
+def lookup_table_of_listeners(t: Tables) -> DataFrame:
+    return _lookups(t)["user_list"]
+
+
+@query(
+    f"""WITH {LOG_SQL}, songs AS ({_last_per_key_sql('"sessionId", "itemInSession"',
+    '"sessionId" AS session_id, "itemInSession" AS item_in_session, artist, length, song')})
+    SELECT artist, CAST(CAST(length AS FLOAT) AS DOUBLE) AS length, song FROM songs
+    WHERE session_id = 100 AND item_in_session = 1"""
+)
+def lookup_song_at(t: Tables) -> DataFrame:
+    heard = lookups.song_at(_lookups(t)["songs"], 100, 1)
+    return heard.withColumn("length", F.col("length").cast("double"))

@@ -161,4 +161,29 @@ INCREMENTAL_STAR = {
     ),
 }
 
+
+
+def review_star(since: str) -> dict[str, T.StructType]:
+    """The loaded review tables; ``since`` names the users' column with the date they joined."""
+    return {
+        "state": schema(state="text", state_id="int"),
+        "category": schema(restaurant_category="text", category_id="int"),
+        "ambience": schema(ambience="text", ambience_id="int"),
+        "users": schema(
+            user_id="text", name="text", user_review_count="number", **{since: "text"},
+            user_friend_count="int", useful_vote_cnt="number", funny_vote_cnt="number",
+            cool_vote_cnt="number", user_average_stars="double", user_elite_year_cnt="int",
+            is_user_elite="bool", user_fans="number",
+        ),
+        "business_reviews": schema(
+            business_id="text", is_open="number", review_count="number", business_stars="double",
+            alcohol="text", take_credit_cards="bool", good_for_kids="bool", happy_hour="bool",
+            restaurants_takeout="bool", smoking="text", wifi="text", category_id="int",
+            ambience_id="int", state_id="int", review_cool="number", review_funny="number",
+            review_id="text", review_stars="double", review_useful="number", user_id="text",
+            year="int", month="int",
+        ),
+    }
+
+
 VARCHAR_WIDTH = 256

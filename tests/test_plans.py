@@ -12,9 +12,12 @@ from starwright.plans import incremental, lake, lookups, reviews, upserts, wareh
 from starwright.schemas import (
     ACTIVITY_CSV,
     ACTIVITY_LOG,
+    BUSINESS,
     INCREMENTAL_EVENTS,
     INCREMENTAL_SONGS,
+    review_star,
 )
+from starwright.storage import scratch_dir
 
 # 2018-11-20 10:00:00.250 UTC, a Tuesday.
 T0 = 1542708000250
@@ -257,3 +260,19 @@ def test_command_line(spark, music, tmp_path):
          "--location", f"{tmp_path}/db", "--execution-date", "2018-12-01", "--repeatable"]
     )
     assert spark.table(f"{name}.songplays").count() == 5
+
+
+def test_an_empty_review_fact_fails_the_load(spark, database):
+    output = scratch_dir(spark, "review-outputs")
+    for name, columns in review_star("since").items():
+        empty = spark.createDataFrame([], columns)
+        empty.write.json(f"{output}/{reviews.FILES[name]}.json")
+    with pytest.raises(ValueError, match="0 rows"):
+        reviews.load(spark, database, output, since="since")
+
+
+def test_refreshing_an_unknown_review_output_fails(spark):
+    source = scratch_dir(spark, "review-documents")
+    spark.createDataFrame([], BUSINESS).write.json(f"{source}/business.json")
+    with pytest.raises(ValueError, match="no output 'reviews'"):
+        reviews.refresh(spark, source, source, "reviews", since="since", as_of_year=2024)
