@@ -1,9 +1,11 @@
 """Trained operators: accuracy on held-out rows, and defined results at the edges."""
 
+from pathlib import Path
+
 import duckdb
 import numpy as np
 
-from starwright.llm import language_id, lm_scoring, quality
+from starwright.llm import bpe, language_id, lm_scoring, quality
 from starwright.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -120,3 +122,19 @@ def test_language_sample_with_one_key_for_all(docs):
 
     same = docs([(1, "the cat")] * 50 + [(None, "xyz")]).withColumn("lang", F.lit("en"))
     assert language_id.predict(docs([(1, "the cat")]), language_id.fit(same, sample_rows=2)).first()["lang_pred"] == "en"
+
+
+def test_words_before_a_mark_are_spelled_as_a_whole():
+    """Letters and a closing mark spelled apart give the classes of the word spelled at once."""
+    automaton = bpe.parse(Path(bpe.default_vocabulary()).read_text(encoding="utf-8"))
+    steps, lm_scoring.STEPS = lm_scoring.STEPS, 2
+    try:
+        model = lm_scoring.fit([[automaton.spell(b"the"), automaton.spell(b"cat.")] * 20], max(automaton.label) + 1)
+    finally:
+        lm_scoring.STEPS = steps
+    memo = lm_scoring.spelled_words(model, automaton, {})
+    for word in (b"cat", b"cat.", b"unheardof!", b"a..", b".", b"it's", b"x:", "für,".encode(), b"\xff.", b"9."):
+        classes = bytes(model.own[i] for i in automaton.spell(word))
+        within = sum(model.rest.get(i, model.unseen) for i in automaton.spell(word) if model.own[i] == lm_scoring.REST)
+        assert memo[word][1] == classes
+        np.testing.assert_allclose(memo[word][2], within)
