@@ -138,3 +138,17 @@ def test_words_before_a_mark_are_spelled_as_a_whole():
         within = sum(model.rest.get(i, model.unseen) for i in automaton.spell(word) if model.own[i] == lm_scoring.REST)
         assert memo[word][1] == classes
         np.testing.assert_allclose(memo[word][2], within)
+
+
+def test_scores_do_not_depend_on_the_words_sent_to_all_tasks(docs, monkeypatch):
+    """Rare words meet their counts in a join, also for the model's score."""
+    training = [(i, "the cat and the dog saw the cat " + "seldom " * (i % 3)) for i in range(9)] + [(9, None)]
+    rows = docs([*training, (10, "a seldom cat, unheard of: seldom unheard"), (11, "")])
+    monkeypatch.setattr(lm_scoring, "STEPS", 2)
+    scores = lambda: {r["doc_id"]: (r["n_known"], r["base_score"], r["score"]) for r in lm_scoring.score(rows, docs(training)).collect()}
+    want = scores()
+    monkeypatch.setattr(lm_scoring, "HEAD", 2)
+    got = scores()
+    assert len(got) == 12
+    for i in want:
+        np.testing.assert_allclose(got[i], want[i], rtol=1e-9)
