@@ -152,3 +152,50 @@ def test_scores_do_not_depend_on_the_words_sent_to_all_tasks(docs, monkeypatch):
     assert len(got) == 12
     for i in want:
         np.testing.assert_allclose(got[i], want[i], rtol=1e-9)
+
+
+def test_all_training_rows_are_learnt_from(spark, docs):
+    """Counts are those of all rows' ids, in any number of tasks, and every window is stepped on once."""
+    words = ["river", "stone", "light", "cloud"]
+    texts = [" ".join(words[(i + j) % 4] for j in range(60)) for i in range(900)] + ["zebra " * 400, None]
+    definition = bpe.Definition(spark, bpe.default_vocabulary())
+    automaton = definition.automaton()
+    model = lm_scoring.learnt(docs(enumerate(texts)).select("text").repartition(3), definition, max(automaton.label) + 1)
+    ids = [i for t in texts for w in (t or "").encode().split() for i in automaton.spell(w)]
+    n = np.bincount(ids, minlength=max(automaton.label) + 1)
+    own, rest, unseen = lm_scoring.ranked_classes(np.flatnonzero(n), n[n > 0], len(n))
+    np.testing.assert_array_equal(model.own, own)
+    assert (model.rest, model.unseen) == (rest, unseen)
+    zebra = bytes(own[i] for i in automaton.spell(b"zebra"))
+    assert lm_scoring.REST not in zebra  # its 400 words are in a single text
+    river = np.frombuffer(b"".join(bytes(own[i] for i in automaton.spell(w.encode())) for w in words * 15) + bytes([lm_scoring.END]), np.uint8)
+    begun = lm_scoring.untrained(own, rest, unseen, lm_scoring.pair_counts(river), np.random.default_rng(5))
+    lengths = np.array([len(river)])
+    assert lm_scoring.log_probabilities(model, river, lengths).sum() > lm_scoring.log_probabilities(begun, river, lengths).sum()
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(3)
+    classes, lengths = rng.integers(0, lm_scoring.CLASSES, 90).astype(np.uint8), np.array([50, 40])
+    pairs = rng.integers(0, 9, lm_scoring.CLASSES**2)
+    m = lm_scoring.untrained(np.zeros(1, np.uint8), {}, 0.0, pairs, rng)
+    m.out = rng.normal(0, 0.3, m.out.shape)
+    for name in lm_scoring.TRAINED:
+        setattr(m, name, getattr(m, name).astype(np.float64))
+    cut = lm_scoring._cut(classes, lengths, *lm_scoring.windows(lengths))
+    g = lm_scoring._gradients(m, *cut)
+
+    def loss():
+        m.bias = lm_scoring._relative(m.distance).astype(np.float64)
+        p = lm_scoring._softmax(lm_scoring._forward(m, *cut[:2])[-1])
+        return -np.log(np.take_along_axis(p, cut[2][..., None], -1)[..., 0])[cut[3]].mean()
+
+    for name in lm_scoring.TRAINED:
+        array, most = getattr(m, name), np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
+        step = 1e-3
+        array[most] += step
+        up = loss()
+        array[most] -= 2 * step
+        down = loss()
+        array[most] += step
+        np.testing.assert_allclose(g[name][most], (up - down) / (2 * step), rtol=0.02, err_msg=name)
