@@ -199,3 +199,19 @@ def test_gradients_are_those_of_the_loss():
         down = loss()
         array[most] += step
         np.testing.assert_allclose(g[name][most], (up - down) / (2 * step), rtol=0.02, err_msg=name)
+
+
+def test_frequent_ids_are_told_apart_and_the_window_reaches_far():
+    """126 ids have classes of their own, and every id is predicted from the 32 before it at least."""
+    n = np.arange(200, 0, -1)
+    own, rest, _ = lm_scoring.ranked_classes(np.arange(200), n, 300)
+    assert len(set(own[:126].tolist())) == 126 and lm_scoring.REST not in own[:126] and 125 not in rest
+    rng = np.random.default_rng(6)
+    m = lm_scoring.untrained(own, rest, 0.0, np.ones(lm_scoring.CLASSES**2, np.int64), rng)
+    m.out = rng.normal(0, 1, m.out.shape).astype(np.float32)
+    m.embed, classes, lengths = m.embed * 10, rng.integers(0, 100, 200).astype(np.uint8), np.array([200])
+    want = lm_scoring.log_probabilities(m, classes, lengths)
+    for at in range(40, 200, 13):
+        other = classes.copy()
+        other[at - 32] = (other[at - 32] + 50) % 100  # the input at - 31, 32 inputs with the target's own
+        assert lm_scoring.log_probabilities(m, other, lengths)[at] != want[at]
