@@ -1,6 +1,7 @@
 """Operators against brute force: encoding, token files, embeddings, revisits, licences, the pipeline."""
 
 import random
+import textwrap
 
 import duckdb
 import numpy as np
@@ -98,6 +99,44 @@ def test_licence_bounds_lose_nothing(docs):
     assert got == {(1, "MIT-notice"), (5, "MIT")}
 
 
+def test_licences_wrapped_over_lines(docs):
+    """Runs of lines inside other text, against all runs by brute force."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        name = rng.choice(sorted(n for n in licenses.TEMPLATES if len(licenses.TEMPLATES[n]) < 2000))
+        words, lines = licenses.TEMPLATES[name].split(), []
+        while words:
+            n = rng.randint(1, 14)
+            lines.append(rng.choice(["", "# ", " * "]) + " ".join(words[:n]))
+            words = words[n:]
+        for _ in range(i % 3):
+            lines.insert(rng.randrange(len(lines) + 1), rng.choice(["", "of the software", "import os", lines[0]]))
+        rows.append((i, "\n".join(["import this", " ".join(f"more{n}" for n in range(600)), *lines, "", "def f(the, software): " + "return None " * 40, *(lines if i % 7 == 0 else [])])))
+    sets = {name: licenses.bigrams(text.encode()) for name, text in licenses.TEMPLATES.items()}
+
+    def best(lines, s, most):
+        units = (licenses.bigrams("\n".join(lines[i : j + 1]).encode()) for i in range(len(lines)) for j in range(i, min(i + most, len(lines))))
+        return max(2 * len(b & s) / (len(b) + len(s)) for b in units)
+
+    got = {(r["doc_id"], r["license_id"]): r for r in licenses.scan(docs(rows)).collect()}
+    want = {(i, name): dice for i, text in rows for name, s in sets.items() if len(s) < 250 and (dice := best(text.split("\n"), s, 99)) >= licenses.LEAST_DICE}
+    apart = {k for k in want if best(rows[k[0]][1].split("\n"), sets[k[1]], 1) < licenses.LEAST_DICE}
+    assert len(apart) >= 40 and set(want) == {k for k in got if len(sets[k[1]]) < 250}
+    assert all(abs(got[k]["dice"] - want[k]) < 1e-12 for k in apart)
+    assert all(got[k]["first_line"] >= 3 for k in apart)
+    assert all(got[k]["n_units"] >= 2 for k in apart if k[0] % 21 == 0)
+
+
+def test_full_licence_texts_inside_other_text(docs):
+    """A usual set of licences, as their files hold them."""
+    names = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-2.1-header", "AGPL-3.0-header", "MPL-2.0"]
+    wrap = lambda text: text if "\n" in text else textwrap.fill(text, 70)
+    rows = [(i, "notes\n" + "before it " * 300 + "\n" + wrap(licenses.TEMPLATES[name]) + "\nfoo " * 900) for i, name in enumerate(names)]
+    got = {(r["doc_id"], r["license_id"]) for r in licenses.scan(docs(rows)).collect()}
+    assert {(i, name) for i, name in enumerate(names)} <= got
+
+
 def test_pipeline_stages_keep_columns_and_take_effect(spark):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = [frame.count()]
