@@ -29,9 +29,9 @@ from .common import runs, texts_of
 ORDER = 3
 #: Symbols of the folded alphabet; the last is shared by all bytes that are not frequent.
 SYMBOLS = 64
-#: Cells of the table of code lengths, over contexts, symbols and languages.
+#: Cells of a language's table of code lengths, over contexts and symbols.
 CELLS = 1 << 21
-#: Context counts taken to the driver, the most frequent first.
+#: Context counts of a language taken to the driver, the most frequent first.
 MOST_COUNTS = 400_000
 #: Bytes whose code lengths are looked up at once.
 SLICE = 1 << 20
@@ -51,8 +51,8 @@ FOLDED = _folded()
 class LanguageModel:
     languages: list[str]
     symbol: np.ndarray  # of each byte
-    state: np.ndarray  # of each context of ORDER symbols: the longest known suffix
-    bits: np.ndarray  # code lengths: (state * SYMBOLS + symbol, language)
+    state: list[np.ndarray]  # by language, of each context of ORDER symbols: the longest known suffix
+    bits: list[np.ndarray]  # by language, code lengths: state * SYMBOLS + symbol
 
 
 def _symbols(text: bytes, symbol: np.ndarray) -> np.ndarray:
@@ -106,23 +106,17 @@ def _probabilities(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.where(total == 0, shorter, np.where(seen, known, unknown))
 
 
-def compile_model(languages: list[str], symbol: np.ndarray, rows) -> LanguageModel:
-    """The table of exact code lengths from (language, code, count) rows."""
-    n_lang = len(languages)
-    index = {x: i for i, x in enumerate(languages)}
-    lang = np.array([index[r[0]] for r in rows], np.int64)
-    code = np.array([r[1] for r in rows], np.int64)
-    n = np.array([r[2] for r in rows], np.float64)
+def language_table(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A language's states and exact code lengths from its codes and their counts."""
     context, last = code // SYMBOLS, code % SYMBOLS
     # A context is kept as its order followed by its symbols, in base SYMBOLS.
     kept, where = np.unique(context, return_inverse=True)
     weight = np.bincount(where, weights=n, minlength=len(kept))
-    room = max(1, CELLS // (SYMBOLS * n_lang))
-    best = np.sort(kept[np.argsort(-weight, kind="stable")[:room]])
+    best = np.sort(kept[np.argsort(-weight, kind="stable")[: CELLS // SYMBOLS]])
     at = np.searchsorted(best, context)
     inside = (at < len(best)) & (best[np.minimum(at, len(best) - 1)] == context)
-    table = np.zeros((n_lang, len(best), SYMBOLS))
-    np.add.at(table, (lang[inside], at[inside], last[inside]), n[inside])
+    table = np.zeros((len(best), SYMBOLS))
+    np.add.at(table, (at[inside], last[inside]), n[inside])
 
     order = np.zeros(len(best), np.int64)
     for k in range(1, ORDER + 1):
@@ -137,18 +131,16 @@ def compile_model(languages: list[str], symbol: np.ndarray, rows) -> LanguageMod
             continue
         own = best[mine] - k * SYMBOLS**k
         parent = longest[own] if k else np.full(len(mine), -1)  # by the suffix without the oldest symbol
-        for i in range(n_lang):
-            base = np.where((parent >= 0)[:, None], p[i, np.maximum(parent, 0)], 1.0 / SYMBOLS)
-            p[i, mine] = _probabilities(table[i, mine], base)
+        base = np.where((parent >= 0)[:, None], p[np.maximum(parent, 0)], 1.0 / SYMBOLS)
+        p[mine] = _probabilities(table[mine], base)
         place = np.full(SYMBOLS**k, -1, np.int64)
         place[own] = mine
         found = place[full % SYMBOLS**k]
         longest = np.where(found >= 0, found, longest)
     if (longest < 0).any():
-        p = np.concatenate([p, np.full((n_lang, 1, SYMBOLS), 1.0 / SYMBOLS)], 1)
-        longest[longest < 0] = p.shape[1] - 1
-    bits = -np.log2(p).transpose(1, 2, 0).reshape(-1, n_lang).astype(np.float32)
-    return LanguageModel(languages, symbol, longest.astype(np.int32), bits)
+        p = np.concatenate([p, np.full((1, SYMBOLS), 1.0 / SYMBOLS)])
+        longest[longest < 0] = len(p) - 1
+    return longest.astype(np.int32), -np.log2(p).ravel().astype(np.float32)
 
 
 def fit(labelled: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id", sample_rows: int = 500) -> LanguageModel:
@@ -174,11 +166,16 @@ def fit(labelled: DataFrame, text: str = "text", language: str = "lang", key: st
     symbol = np.full(256, SYMBOLS - 1, np.uint8)
     for i, r in enumerate(ranked):
         symbol[r["byte"]] = i
-    if not languages:
-        return LanguageModel([], symbol, np.zeros(SYMBOLS**ORDER, np.int32), np.zeros((SYMBOLS, 0), np.float32))
     count, schema = _counter(symbol)
-    counts = sample.mapInArrow(count, schema).groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    return compile_model(languages, symbol, counts.orderBy(F.desc("n"), "lang", "code").limit(MOST_COUNTS).collect())
+    model = LanguageModel(languages, symbol, [], [])
+    if languages:
+        counts = written(sample.mapInArrow(count, schema).groupBy("lang", "code").agg(F.sum("n").alias("n")), "language-counts")
+    for name in languages:
+        found = counts.where(F.col("lang") == name).select("code", "n").orderBy(F.desc("n"), "code").limit(MOST_COUNTS).toArrow()
+        state, bits = language_table(found.column("code").to_numpy(), found.column("n").to_numpy().astype(np.float64))
+        model.state.append(state)
+        model.bits.append(bits)
+    return model
 
 
 def code_lengths(model: LanguageModel, texts: list[bytes]) -> np.ndarray:
@@ -190,7 +187,9 @@ def code_lengths(model: LanguageModel, texts: list[bytes]) -> np.ndarray:
         data = b"".join((b" " * ORDER + texts[i][max(0, s - ORDER) : s])[-ORDER:] + texts[i][s:e] for i, s, e in part)
         x = _symbols(data, model.symbol).astype(np.int32)
         context = (x[:-3] * SYMBOLS + x[1:-2]) * SYMBOLS + x[2:-1]
-        bits = model.bits[model.state[context] * SYMBOLS + x[3:]]
+        bits = np.empty((len(context), len(model.languages)), np.float32)
+        for i, (state, table) in enumerate(zip(model.state, model.bits, strict=True)):
+            bits[:, i] = table[state[context] * SYMBOLS + x[3:]]
         sizes = np.array([e - s + ORDER for _, s, e in part])
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         # Between a piece's own entries and the next piece's lie ORDER entries that belong to neither.

@@ -215,3 +215,17 @@ def test_frequent_ids_are_told_apart_and_the_window_reaches_far():
         other = classes.copy()
         other[at - 32] = (other[at - 32] + 50) % 100  # the input at - 31, 32 inputs with the target's own
         assert lm_scoring.log_probabilities(m, other, lengths)[at] != want[at]
+
+
+def test_a_language_keeps_its_tables_as_others_are_added(docs, monkeypatch):
+    """Contexts and counts are ranked within each language, so other languages take none away."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(language_id, "CELLS", 40 * language_id.SYMBOLS)
+    monkeypatch.setattr(language_id, "MOST_COUNTS", 60)
+    small = [(1, "abcabd abc bad")]
+    large = [(i, "the quick brown fox jumps over a lazy dog abcd " * 20) for i in range(2, 8)]
+    labelled = lambda rows: docs(rows).withColumn("lang", F.when(F.col("doc_id") == 1, "a").otherwise(F.concat(F.lit("b"), "doc_id")))
+    texts = [b"abc abd", b"bad"]
+    alone = language_id.code_lengths(language_id.fit(labelled(small)), texts)[:, 0]
+    np.testing.assert_allclose(language_id.code_lengths(language_id.fit(labelled(small + large)), texts)[:, 0], alone, rtol=1e-5)
