@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from starwright.storage import scratch_dir
 
-from . import bpe, decontamination, embedding_dedup, jaccard_join, language_id, licenses, lm_scoring, quality, revisits, token_files
+from . import (
+    bpe, decontamination, embedding_dedup, filter_audit, jaccard_join, language_id, licenses, line_dedup, lm_scoring, merkle, quality, revisits,
+    token_files,
+)
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +233,139 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     coded = bpe.round_trip(docs)
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    proved = merkle.manifest(docs, tampered, F.replace("text", F.lit("\n"), F.lit("")))
+    return proved.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+# crc32 reads the digits of an id one by one (c xor digit, then eight shifts for each); its last bit decides.
+_CRC32 = """list_reduce(
+    list_prepend(4294967295::BIGINT, flatten([[ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(doc_id::VARCHAR, '')])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"""
+
+
+def _merkle_sql() -> str:
+    value = lambda x: f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')"
+    head = " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    forged = f"sha256({head} || {value("replace(text, chr(10), '')")})"
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, sha256({head} || {value("text")}) AS leaf,
+    CASE WHEN {_CRC32} & 1 = 1 THEN {forged} END AS forged
+  FROM documents
+), g AS (
+  SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM d
+), a(h, tree, pos, n, digest) AS (
+  SELECT 0, tree, pos, n, leaf FROM g
+  UNION ALL
+  SELECT h + 1, tree, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM a WHERE n > 1 GROUP BY h, tree, pos // 3, n
+), s AS (
+  SELECT tree, h AS top, digest AS subroot FROM a WHERE n = 1
+), b(h, tree, pos, n, digest) AS (
+  SELECT 0, -1::BIGINT, tree, (SELECT count(*) FROM s), subroot FROM s
+  UNION ALL
+  SELECT h + 1, tree, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM b WHERE n > 1 GROUP BY h, tree, pos // 3, n
+), node AS (
+  SELECT x.h, x.tree, x.pos, coalesce(string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS l,
+    coalesce(string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS r
+  FROM (FROM a UNION ALL FROM b) x JOIN (FROM a UNION ALL FROM b) y
+    ON x.h = y.h AND x.tree = y.tree AND x.pos // 3 = y.pos // 3
+  WHERE x.n > 1 GROUP BY x.h, x.tree, x.pos
+), p(id, h, tree, pos, proof, folded) AS (
+  SELECT g, 0, CASE WHEN n = 1 THEN -1 ELSE tree END, CASE WHEN n = 1 THEN tree ELSE pos END, ''::VARCHAR, coalesce(forged, leaf) FROM g
+  UNION ALL
+  SELECT id, CASE WHEN p.h + 1 = s.top THEN 0 ELSE p.h + 1 END, CASE WHEN p.h + 1 = s.top THEN -1 ELSE p.tree END,
+    CASE WHEN p.h + 1 = s.top THEN p.tree ELSE p.pos // 3 END, proof || l || r, sha256(l || folded || r)
+  FROM p JOIN node USING (h, tree, pos) LEFT JOIN s ON s.tree = p.tree
+), e AS (
+  SELECT id, proof, folded FROM p ANTI JOIN node USING (h, tree, pos)
+)
+SELECT id.doc_id AS doc_id, id.leaf AS leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM e JOIN s ON s.tree = e.id.tree CROSS JOIN (SELECT digest FROM b WHERE n = 1)
+"""
+
+
+SQL["op11_merkle_manifest"] = _merkle_sql()
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+SQL["op12_filter_audit"] = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM t
+), m AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, list_filter([
+    CASE WHEN len(ws) < 200 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text) THEN 'C' END,
+    CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN doc_id > first THEN 'E' END], lambda x: x IS NOT NULL) AS fails
+  FROM w LEFT JOIN m USING (doc_id)
+), c AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY ALL
+), f AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), o(filter_order) AS (
+  SELECT '' UNION ALL SELECT filter_order || letter FROM o, f WHERE NOT contains(filter_order, letter)
+), k AS (
+  SELECT filter_order, unnest(range(1, 6)) AS step FROM o WHERE length(filter_order) = 5
+), x AS (
+  SELECT part, n, good, toxic, filter_order, step, list_contains(fails, filter_order[step]) AS bad, len(fails) AS n_fails,
+    list_has_any(fails, string_split(filter_order[1 : step - 1], '')) AS gone
+  FROM c, k
+), r AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, coalesce(sum(n) FILTER (NOT gone AND NOT bad), 0) AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND bad), 0) AS removed, coalesce(sum(n) FILTER (gone AND bad), 0) AS redundant,
+    coalesce(sum(n) FILTER (bad AND n_fails = 1), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND bad), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND bad), 0) AS toxic_lost
+  FROM x GROUP BY ALL
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@query
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup(docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op13_line_dedup"] = r"""
+WITH l AS (
+  SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i
+  FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+), m AS (
+  SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), x AS (
+  SELECT r, doc_id, i, line, coalesce(doc_id <> owner, false) AS gone FROM k LEFT JOIN m USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM x GROUP BY r, doc_id
+"""

@@ -17,7 +17,8 @@ def test_one_query_for_each_operator_and_the_pipeline():
     assert sorted(QUERIES) == sorted(
         [
             "op1_lm_scoring", "op2_language_id", "op3_token_counts", "op4_warc_revisits", "op5_embedding_dedup",
-            "op6_decontamination", "op7_ngram_jaccard", "op8_quality", "op9_license_scan", "op10_bpe", "pipeline",
+            "op6_decontamination", "op7_ngram_jaccard", "op8_quality", "op9_license_scan", "op10_bpe", "op11_merkle_manifest",
+            "op12_filter_audit", "op13_line_dedup", "pipeline",
         ]
     )
 
