@@ -5,25 +5,33 @@ on, and each merge (u, v) -> uv, in order of rank, adds a gadget: arrivals by u
 get a state of their own that lacks the arc v, and wherever u then v could be
 read, an arc uv now leads where v led. What is left after the last merge are
 exactly the right token sequences, one for each byte string. All arrivals by
-one label share a state, so the state is the label last read, and a row of the
-transition table says which labels may follow. Two labels t, x are joined by an
-arc unless a gadget took it away: a merge (s, y) of rank m, where s is t or an
-ending that t was built from (its row was copied when the label above it was
-made, so m must be less than that rank), and y is x or a beginning that x was
-built from (the arc of the label above it was made from y's, so m must be at
-most that rank). Rows are filled in as they are used and then only looked up.
-
-Encoding moves through a pre-split word from byte to byte; at each, one label
-alone ends there and has an arc from the state where it begins. Decoding emits
-the labels of the arcs.
+one label share a state, so the state is the label last read. Two labels t, x
+are joined by an arc unless a gadget took it away: a merge (s, y) of rank m,
+where s is t or an ending that t was built from (its arcs were copied when the
+label above it was made, so m must be less than that rank), and y is x or a
+beginning that x was built from (the arc of the label above it was made from
+y's, so m must be at most that rank). The driver compiles merges to flat arrays
+of these chains and gadgets, and the labels' bytes to a tree.
+
+To read bytes instead of labels, the automaton is made deterministic: after
+some bytes, its state is the tree's nodes that the last bytes lead to, each with
+the label that ends where its bytes begin, and the label that ends here. That
+label is one alone: of those that end at the nodes, the one with an arc from
+the label before it. States get their numbers, and rows of 256 next states in
+one table, when they are first entered; then a byte costs one look into the
+table. Its size is bounded whatever the texts: states beyond it are stepped
+through without a number.
+Encoding steps through a pre-split word byte by byte and reads the labels back
+from its end, in time linear in the word; decoding emits the labels' bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 import re
-import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +39,22 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo
-
 NEVER = 1 << 60
 #: Two labels in one integer.
-SHIFT, LOW = 32, (1 << 32) - 1
-#: Transitions that a worker keeps.
-MOST_TRANSITIONS = 1 << 20
-#: Words whose ids a worker keeps, in each of two generations.
-MOST_WORDS = 400_000
+SHIFT = 32
+#: A node of the tree and a label in one integer; all bits of the label set: none.
+NODE, NODE_LOW = 24, (1 << 24) - 1
+#: States of the byte automaton that a worker keeps: 16 MB of next states.
+MOST_STATES = 1 << 14
+#: Steps beside a full table before it is begun anew.
+MOST_BESIDE = 1 << 21
+#: Pairs of labels whose arc a worker keeps: some 10 MB.
+MOST_ARCS = 1 << 16
+#: Words whose ids a worker keeps, and the longest of them: some 30 MB.
+MOST_WORDS = 1 << 17
+LONGEST_KEPT = 32
+#: No label: the start of a word.
+START = -1
 
 # Fixed values of byte-level tokenizers: the words that texts are split into.
 # White space is Unicode's; in ASCII texts that is the six characters of ``\s``.
@@ -63,114 +78,192 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Automaton:
-    """States, arcs and labels compiled from a vocabulary and its ordered merges.
+class Compiled:
+    """An automaton as flat arrays, a few megabytes that the driver sends to the workers.
 
     ``vocabulary``: label bytes to id; ``merges``: pairs of label bytes;
     ``special``: strings found in a text before all else, to their ids.
     """
 
     def __init__(self, vocabulary: dict[bytes, int], merges: list[tuple[bytes, bytes]], special: dict[str, int]):
-        self.label: dict[int, bytes] = {i: x for x, i in vocabulary.items()}
-        self.label |= {i: x.encode() for x, i in special.items()}
         self.special = special
-        self.id_of = {x: i for x, i in vocabulary.items() if len(x) == 1}
-        # Of each label: itself and the endings it was built from, with the rank at which the
-        # row was copied; itself and the beginnings, with the rank at which the arc was made.
-        self.endings = {i: [(i, NEVER)] for i in self.id_of.values()}
-        self.beginnings = {i: [(i, NEVER)] for i in self.id_of.values()}
+        size = max([*vocabulary.values(), *special.values()], default=-1) + 1
+        self.labels = [b""] * size
+        for word, i in [*vocabulary.items(), *((x.encode(), i) for x, i in special.items())]:
+            self.labels[i] = word
+        # Of each label the next ending and the next beginning that it was built from, with the
+        # rank of the merge that built it: the ends of a chain are the labels of single bytes.
+        self.next_ending, self.next_beginning, self.rank = (array("i", [START]) * size for _ in range(3))
         self.gadget: dict[int, int] = {}
-        for rank, (a, b) in enumerate(merges):
-            if a in self.id_of and b in self.id_of:
-                self._merge(rank, self.id_of[a], self.id_of[b], a + b, vocabulary[a + b])
-        self.size = {i: len(x) for x, i in self.id_of.items()}
-        # The bytes of labels as a tree: node | byte to the next node, a multiple of 256, and the label that ends at a node.
-        self.step: dict[int, int] = {}
-        self.ends: dict[int, int] = {}
-        for word, i in self.id_of.items():
+        id_of = {x: i for x, i in vocabulary.items() if len(x) == 1}
+        for rank, (u, v) in enumerate(merges):
+            if u in id_of and v in id_of and self.has_arc(id_of[u], id_of[v]):
+                self.gadget[id_of[u] << SHIFT | id_of[v]] = rank
+                made = vocabulary[u + v]
+                if u + v not in id_of:
+                    id_of[u + v] = made
+                    self.next_ending[made], self.next_beginning[made], self.rank[made] = id_of[v], id_of[u], rank
+        # The bytes of labels as a tree. Nodes are numbered level by level, so that the nodes after
+        # one node, for the bytes in ``after``, are ``first`` and those behind it.
+        tree: list[dict] = [{}]
+        of_node: dict[int, int] = {}
+        for word, i in id_of.items():
             node = 0
             for byte in word:
-                node = self.step.setdefault(node | byte, len(self.step) + 1 << 8)
-            self.ends[node] = i
-        # The longest label that a label begins with, or -1.
-        self.shorter: dict[int, int] = {}
-        for word, i in self.id_of.items():
-            node, self.shorter[i] = 0, -1
-            for byte in word[:-1]:
-                node = self.step[node | byte]
-                self.shorter[i] = self.ends.get(node, self.shorter[i])
-        self.row = Memo(self._arc, MOST_TRANSITIONS)
-        word_path, pack = self.encode_word, self._pack
-        self.packed = Memo(lambda word: pack(word_path(word.encode())), MOST_WORDS)
-        longest_first = sorted(special, key=len, reverse=True)
-        self.split = regex.compile("|".join(map(regex.escape, longest_first))) if special else None
-
-    def _merge(self, rank: int, u: int, v: int, word: bytes, made: int) -> None:
-        """The gadget of one merge; without both arcs there is nothing to merge."""
-        if not self._arc(u << SHIFT | v):
-            return
-        self.gadget[u << SHIFT | v] = rank
-        if word not in self.id_of:
-            self.id_of[word] = made
-            self.endings[made] = [(made, NEVER), (v, rank), *self.endings[v][1:]]
-            self.beginnings[made] = [(made, NEVER), (u, rank), *self.beginnings[u][1:]]
-
-    def _arc(self, pair: int) -> bool:
-        """Whether the state after the first label has an arc for the second."""
-        gadget = self.gadget
-        for beginning, built in self.beginnings[pair & LOW]:
-            for ending, copied in self.endings[pair >> SHIFT]:
+                if byte not in tree[node]:
+                    tree[node][byte] = len(tree)
+                    tree.append({})
+                node = tree[node][byte]
+            of_node[node] = i
+        order, self.first = [0], array("i")
+        for node in order:
+            self.first.append(len(order))
+            order += [tree[node][byte] for byte in sorted(tree[node])]
+        self.after = [bytes(sorted(tree[node])) for node in order]
+        self.ends = array("i", [of_node.get(node, START) for node in order])
+
+    def has_arc(self, before: int, label: int) -> bool:
+        """Whether the state after one label has an arc for another."""
+        gadget, ranks, ending_of, beginning_of = self.gadget, self.rank, self.next_ending, self.next_beginning
+        beginning, built = label, NEVER
+        while beginning >= 0:
+            ending, copied = before, NEVER
+            while ending >= 0:
                 rank = gadget.get(ending << SHIFT | beginning)
                 if rank is not None and rank < copied and rank <= built:
                     return False
+                copied = ranks[ending]
+                ending = ending_of[ending]
+            built = ranks[beginning]
+            beginning = beginning_of[beginning]
         return True
 
-    def encode_word(self, word: bytes) -> list[int]:
-        """The labels read from the start to the end of a word: the only path of arcs.
 
-        Longer labels are tried first; a label that led nowhere is not tried
-        again at its place, so the work is linear in the word's length.
+class Automaton:
+    """The byte automaton over a compiled one: states, next states and words met.
+
+    What it keeps for the texts to come is bounded, 60 MB or so, and belongs to
+    the worker, not to a task.
+    """
+
+    def __init__(self, compiled: Compiled):
+        self.compiled = compiled
+        self.label, self.special = compiled.labels, compiled.special
+        self.size = array("i", map(len, compiled.labels))
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.split = regex.compile("|".join(map(regex.escape, longest_first))) if self.special else None
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what was kept of the texts so far."""
+        self.arcs: dict[int, bool] = {}
+        self.words: dict[str, bytes] = {}
+        self._begin()
+
+    def _begin(self) -> None:
+        self.next = array("i", _NO_ROW)
+        self.read = array("i", [START])  # the label that ends at a state
+        # A state: the tree's nodes, longest first, down to the root, each with the label before it.
+        self.content: list[tuple[int, ...]] = [(START & NODE_LOW,)]
+        self.number: dict[tuple[int, ...], int] = {self.content[0]: 0}
+        self.beside = 0
+
+    def _step(self, content: tuple[int, ...], byte: int) -> tuple[tuple[int, ...], int]:
+        """What a state holds after a byte, and the label that ends there."""
+        first, after, ends, arcs = self.compiled.first, self.compiled.after, self.compiled.ends, self.arcs
+        held, reached = [], START
+        for pair in content:
+            node, last = pair >> NODE, pair & NODE_LOW
+            at = after[node].find(byte)
+            if at >= 0:
+                to = first[node] + at
+                if after[to]:  # other nodes matter no more after this byte
+                    held.append(to << NODE | last)
+                if reached < 0 and (label := ends[to]) >= 0:
+                    arc = last == NODE_LOW or arcs.get(last << SHIFT | label)
+                    if arc is None:
+                        if len(arcs) >= MOST_ARCS:
+                            arcs.clear()
+                        arc = arcs[last << SHIFT | label] = self.compiled.has_arc(last, label)
+                    if arc:
+                        reached = label
+        if reached < 0:
+            raise ValueError(f"no labels spell byte {byte} here")
+        held.append(reached)  # at the root
+        return tuple(held), reached
+
+    def _number(self, content: tuple[int, ...], reached: int) -> int:
+        """The number of a state, with a row of its own in the table; -1 if that is full."""
+        found = self.number.get(content)
+        if found is None:
+            if len(self.content) >= MOST_STATES:
+                return -1
+            found = self.number[content] = len(self.content)
+            self.content.append(content)
+            self.read.append(reached)
+            self.next.extend(_NO_ROW)
+        return found
+
+    def _path(self, word: bytes) -> list[int] | array:
+        """The ids of a word's labels.
+
+        States that a full table has no place for are stepped through beside
+        it; after many of those the table is begun anew.
         """
-        n, step, ends, row, size, shorter = len(word), self.step.get, self.ends.get, self.row, self.size, self.shorter
-        path: list[int] = []
-        nowhere: set[int] = set()
-        at, state = 0, -1
-        while at < n:
-            node, label = 0, -1  # the longest label that begins here
-            for byte in word[at:]:
-                node = step(node | byte)
-                if node is None:
-                    break
-                label = ends(node, label)
-            while True:
-                while label >= 0 and ((state >= 0 and not row[state << SHIFT | label]) or (nowhere and at << SHIFT | label in nowhere)):
-                    label = shorter[label]
-                if label >= 0:
-                    break
-                if not path:
-                    raise ValueError(f"no labels spell {word!r}")
-                label = path.pop()
-                at -= size[label]
-                nowhere.add(at << SHIFT | label)
-                state = path[-1] if path else -1
-            path.append(label)
-            at, state = at + size[label], label
+        read = [] if len(word) <= LONGEST_KEPT else array("i")
+        state, content, next_, label = 0, (), self.next, self.read
+        for byte in word:
+            if state >= 0:
+                to = next_[state << 8 | byte]
+                if to >= 0:
+                    state = to
+                    read.append(label[to])
+                    continue
+                content = self.content[state]
+            content, reached = self._step(content, byte)
+            read.append(reached)
+            if state >= 0:
+                to = self._number(content, reached)
+                if to >= 0:
+                    next_[state << 8 | byte] = to
+                state = to
+            else:
+                self.beside += 1
+                if self.beside > MOST_BESIDE:
+                    self._begin()
+                    next_, label = self.next, self.read
+                    state = self._number(content, reached)
+        size, at, path = self.size, len(word), read[:0]
+        while at:
+            ends = read[at - 1]
+            path.append(ends)
+            at -= size[ends]
+        path.reverse()
         return path
 
-    @staticmethod
-    def _pack(path: list[int]) -> bytes:
-        return struct.pack(f"<{len(path)}I", *path)
+    def encode_word(self, word: bytes) -> list[int]:
+        """The labels read from the start to the end of a word: the only path of arcs."""
+        return list(self._path(word))
 
     def spell(self, word: bytes) -> list[int]:
-        """The ids of one word of a text, after a space; nothing is kept for the next time."""
+        """The ids of one word of a text, after a space; the word is not kept for the next time."""
         if word.isalpha():  # ASCII letters: one piece
             return self.encode_word(b" " + word)
         pieces = WORDS.findall(" " + word.decode("utf-8", "replace"))
         return [i for piece in pieces for i in self.encode_word(piece.encode())]
 
     def _encode_plain(self, text: str) -> bytes:
-        words = (ASCII_WORDS if text.isascii() else WORDS).findall(text)
-        return b"".join([self.packed[w] for w in words])
+        out, kept = [], self.words
+        for word in (ASCII_WORDS if text.isascii() else WORDS).findall(text):
+            ids = kept.get(word)
+            if ids is None:
+                ids = array("i", self._path(word.encode())).tobytes()
+                if len(word) <= LONGEST_KEPT:
+                    if len(kept) >= MOST_WORDS:
+                        kept.clear()
+                    kept[word] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, text: str, special: bool = True) -> bytes:
         """The ids of a text, as little-endian unsigned 32-bit integers."""
@@ -187,10 +280,14 @@ class Automaton:
     def decode(self, ids: bytes) -> str:
         """The text that ids spell; bytes that are not UTF-8 become U+FFFD, unknown ids nothing."""
         label = self.label
-        return b"".join([label.get(i, b"") for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        wide = np.frombuffer(ids, "<u4")
+        return b"".join([label[i] for i in wide[wide < len(label)].tolist()]).decode("utf-8", "replace")
+
+
+_NO_ROW = array("i", [-1]) * 256
 
 
-def parse(definition: str) -> Automaton:
+def parse(definition: str) -> Compiled:
     """From the text of a byte-level tokenizer file."""
     model = json.loads(definition)
     byte = byte_characters()
@@ -198,29 +295,29 @@ def parse(definition: str) -> Automaton:
     special = {x["content"]: x["id"] for x in model["added_tokens"]}
     merges = [x.split(" ") if isinstance(x, str) else x for x in model["model"]["merges"]]
     vocabulary = {raw(t): i for t, i in model["model"]["vocab"].items() if t not in special}
-    return Automaton(vocabulary, [(raw(a), raw(b)) for a, b in merges], special)
+    return Compiled(vocabulary, [(raw(a), raw(b)) for a, b in merges], special)
 
 
 class Definition:
-    """A tokenizer file's text as Spark ships it to the workers, compiled there once."""
+    """A tokenizer file, compiled on the driver and sent to the workers as arrays."""
 
     def __init__(self, spark, path: str):
         with open(path, encoding="utf-8") as file:  # a vocabulary file installed with the driver
-            text = file.read()
-        self.digest = hashlib.sha256(text.encode()).hexdigest()
-        self.holder = spark.sparkContext.broadcast(text)
+            compiled = parse(file.read())
+        self.n_ids = len(compiled.labels)
+        packed = pickle.dumps(compiled, pickle.HIGHEST_PROTOCOL)
+        self.digest = hashlib.sha256(packed).hexdigest()
+        self.holder = spark.sparkContext.broadcast(packed)
 
     def automaton(self) -> Automaton:
-        return compiled_once(self.digest, self.holder)
+        """This worker's automaton; the one before it, of another definition, goes."""
+        if self.digest not in _held:
+            _held.clear()
+            _held[self.digest] = Automaton(pickle.loads(self.holder.value))
+        return _held[self.digest]
 
 
-_compiled: dict[str, Automaton] = {}
-
-
-def compiled_once(digest: str, holder) -> Automaton:
-    if digest not in _compiled:
-        _compiled[digest] = parse(holder.value)
-    return _compiled[digest]
+_held: dict[str, Automaton] = {}
 
 
 def default_vocabulary() -> str:
@@ -282,9 +379,26 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids",
 def round_trip(docs: DataFrame, vocabulary: str | None = None, text: str = "text") -> DataFrame:
     """Encode, decode, and add ``n_tokens`` and the SHA-256 digests of ids and decoded text.
 
-    The columns ``ids`` and ``decoded`` hold the ids and the text.
+    The columns ``ids`` and ``decoded`` hold the ids and the text. Both are made
+    in one pass, so that a task needs one Python worker; columns with the names
+    of those added are replaced, all others stay.
     """
-    coded = decode(encode(docs, vocabulary, text), vocabulary)
+    definition = Definition(docs.sparkSession, vocabulary or default_vocabulary())
+    added = ("ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256")
+    others = [c for c in docs.columns if c.lower() not in added]
+    docs, place = docs.select(*others), others.index(text)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def apply(batches):
+        automaton = definition.automaton()
+        for batch in batches:
+            ids = [automaton.encode(t or "") for t in batch.column(place).to_pylist()]
+            decoded = [automaton.decode(x) for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names=[*others, "ids", "decoded"]
+            )
+
+    coded = docs.mapInArrow(apply, f"{fields}, ids binary, decoded string")
     return coded.withColumns(
         {
             "n_tokens": (F.octet_length("ids") / 4).cast("long"),

@@ -2,6 +2,7 @@
 
 import random
 import textwrap
+import time
 
 import duckdb
 import numpy as np
@@ -36,10 +37,47 @@ def test_ids_and_text_equal_the_library(docs):
 
 def test_gadgets_of_repeated_symbols():
     """Merges of a label with itself take the first pair first, as applying merges one by one does."""
-    a = bpe.Automaton({b"a": 0, b"b": 1, b"aa": 2, b"ab": 3, b"aaab": 4}, [(b"a", b"a"), (b"a", b"b"), (b"aa", b"ab")], {})
+    a = bpe.Automaton(bpe.Compiled({b"a": 0, b"b": 1, b"aa": 2, b"ab": 3, b"aaab": 4}, [(b"a", b"a"), (b"a", b"b"), (b"aa", b"ab")], {}))
     assert [a.encode_word(x) for x in (b"aaa", b"aab", b"aaab", b"aaaab", b"ab")] == [[2, 0], [2, 1], [4], [2, 2, 1], [3]]
 
 
+def test_small_tables_and_caches_change_nothing(monkeypatch):
+    """States beside a full table, a table begun anew, and words that are not kept."""
+    rng = random.Random(9)
+    compiled = bpe.parse(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    words = ["".join(rng.choice("theinrsaou") for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    text = " ".join(words + ["a" * 500, "ab" * 300])
+    whole = bpe.Automaton(compiled).encode(text)
+    assert np.frombuffer(whole, "<u4").tolist() == library().encode(text, add_special_tokens=False).ids
+    for name, size in (("MOST_STATES", 50), ("MOST_BESIDE", 700), ("MOST_ARCS", 10), ("MOST_WORDS", 5), ("LONGEST_KEPT", 6)):
+        monkeypatch.setattr(bpe, name, size)
+        small = bpe.Automaton(compiled)
+        assert small.encode(text) == whole
+        assert len(small.content) <= bpe.MOST_STATES and len(small.arcs) <= bpe.MOST_ARCS and len(small.words) <= bpe.MOST_WORDS
+
+
+def test_very_long_words_take_time_in_proportion():
+    compiled = bpe.parse(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    automaton = bpe.Automaton(compiled)
+
+    def seconds(n):
+        start = time.process_time()
+        assert len(automaton.encode("a" * n)) == n
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(4_000_000) < 40
+    assert len(automaton.words) == 0 or max(map(len, automaton.words)) <= bpe.LONGEST_KEPT
+
+
+def test_round_trip_replaces_columns_of_its_names(docs):
+    frame = docs([(1, "a b"), (1, "a b"), (None, None)]).withColumns({c: F.lit("x") for c in ("ids", "decoded", "n_tokens", "more")})
+    got = bpe.round_trip(frame)
+    assert got.columns == ["doc_id", "text", "more", "ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["decoded"]) for r in got.collect()) == [("1", 2, "a b"), ("1", 2, "a b"), ("None", 0, "")]
+    assert bpe.round_trip(docs([])).count() == 0
+
+
 def test_token_files(spark, docs):
     texts = ["one two", "", None, "<|endoftext|> in a text", "word " * 500]
     path = scratch_dir(spark, "test-tokens")

@@ -129,7 +129,7 @@ def test_words_before_a_mark_are_spelled_as_a_whole():
     automaton = bpe.parse(Path(bpe.default_vocabulary()).read_text(encoding="utf-8"))
     steps, lm_scoring.STEPS = lm_scoring.STEPS, 2
     try:
-        model = lm_scoring.fit([[automaton.spell(b"the"), automaton.spell(b"cat.")] * 20], max(automaton.label) + 1)
+        model = lm_scoring.fit([[automaton.spell(b"the"), automaton.spell(b"cat.")] * 20], len(automaton.label))
     finally:
         lm_scoring.STEPS = steps
     memo = lm_scoring.spelled_words(model, automaton, {})
@@ -160,9 +160,9 @@ def test_all_training_rows_are_learnt_from(spark, docs):
     texts = [" ".join(words[(i + j) % 4] for j in range(60)) for i in range(900)] + ["zebra " * 400, None]
     definition = bpe.Definition(spark, bpe.default_vocabulary())
     automaton = definition.automaton()
-    model = lm_scoring.learnt(docs(enumerate(texts)).select("text").repartition(3), definition, max(automaton.label) + 1)
+    model = lm_scoring.learnt(docs(enumerate(texts)).select("text").repartition(3), definition, len(automaton.label))
     ids = [i for t in texts for w in (t or "").encode().split() for i in automaton.spell(w)]
-    n = np.bincount(ids, minlength=max(automaton.label) + 1)
+    n = np.bincount(ids, minlength=len(automaton.label))
     own, rest, unseen = lm_scoring.ranked_classes(np.flatnonzero(n), n[n > 0], len(n))
     np.testing.assert_array_equal(model.own, own)
     assert (model.rest, model.unseen) == (rest, unseen)
