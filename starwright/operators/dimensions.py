@@ -158,6 +158,23 @@ def surrogate_key(df: DataFrame, keys: Sequence[str], id_column: str) -> DataFra
     return numbered(df.repartitionByRange(*keys).sortWithinPartitions(*keys), id_column)
 
 
+def new_surrogates(
+    stored: DataFrame, df: DataFrame, column: str, id_column: str
+) -> DataFrame:
+    """The values of a column that a stored dimension lacks, under the ids that come next.
+
+    Ids that were given stay with their values, so facts that hold them stay
+    right; new values follow the greatest id in their natural order. Of the
+    stored rows the values are read for the anti-join and the ids for their
+    greatest. One writer at a time, as for any such table.
+    """
+    values = with_keys(df.select(column), [column]).distinct()
+    unknown = values.join(stored.select(column), column, "left_anti")
+    last = stored.agg(F.max(id_column).alias("last")).first()["last"] or 0
+    ordered = unknown.repartitionByRange(column).sortWithinPartitions(column)
+    return numbered(ordered, id_column, last + 1)
+
+
 def dimension_with_id(df: DataFrame, column: str, id_column: str) -> DataFrame:
     """Distinct non-null values of a column with ids 1..n in natural order.
 

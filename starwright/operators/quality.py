@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -26,3 +26,24 @@ def non_empty_check(spark: SparkSession, table: str) -> int:
         raise ValueError(f"quality check failed: table {table} has 0 rows")
     log.info("quality check passed: table %s has %d rows", table, n_rows)
     return n_rows
+
+
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """A frame that counts its rows while they are written, and where the count will be."""
+    counts = Observation(name)
+    return df.observe(counts, F.count(F.lit(1)).alias("n_rows")), counts
+
+
+def loaded_check(spark: SparkSession, table: str, counts: Observation) -> int:
+    """Rows that a write has just loaded, from the write itself.
+
+    Nothing is read again unless there were none; that is reported, and an
+    error if the table holds no rows of before either.
+    """
+    n_rows = counts.get["n_rows"]
+    if n_rows < 1:
+        held = non_empty_check(spark, table)
+        log.warning("quality check: nothing loaded into table %s, which holds %d rows", table, held)
+    else:
+        log.info("quality check passed: %d rows loaded into table %s", n_rows, table)
+    return n_rows

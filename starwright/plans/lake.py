@@ -13,7 +13,7 @@ from starwright.operators.matching import match_inner
 from starwright.plans.music import SONG_MATCH, only_plays
 from starwright.schemas import ACTIVITY_LOG, SONG
 from starwright.sinks.files import write_parquet
-from starwright.sources.files import read_json
+from starwright.sources.files import read_json, small_files
 from starwright.storage import intermediates, written
 
 
@@ -77,7 +77,8 @@ def build(
     files, and so the tasks, that write artists and users.
     """
     with intermediates(spark):
-        catalog = written(read_json(spark, songs_path, SONG, recursive=True), "catalog")
+        with small_files(spark):  # one file for each song
+            catalog = written(read_json(spark, songs_path, SONG, recursive=True), "catalog")
         played = written(plays(read_json(spark, log_path, ACTIVITY_LOG, recursive=True)), "plays")
         by_month = {"partition_by": ["year", "month"]}
         small = {"max_files": small_table_files}

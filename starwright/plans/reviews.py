@@ -16,7 +16,7 @@ from starwright.functions.cleaning import (
     text_to_boolean,
 )
 from starwright.functions.timeparts import text_to_timestamp
-from starwright.operators.dimensions import dimension_with_id
+from starwright.operators.dimensions import dimension_with_id, new_surrogates
 from starwright.operators.matching import attach_dimension
 from starwright.operators.quality import non_empty_check
 from starwright.schemas import BUSINESS, REVIEW, review_star, user_schema
@@ -24,7 +24,7 @@ from starwright.sinks.files import write_json
 from starwright.sinks.tables import create_table
 from starwright.sources.files import read_json
 from starwright.sources.staging import stage_table
-from starwright.storage import intermediates, written
+from starwright.storage import exists, intermediates, written
 
 # Label priorities and the sentinel for "no label".
 AMBIENCES = [
@@ -74,17 +74,33 @@ def clean_business(business: DataFrame) -> DataFrame:
     )
 
 
+# Dimension -> its value and id columns.
+DIMENSIONS = {
+    "state": ("state", "state_id"),
+    "category": ("restaurant_category", "category_id"),
+    "ambience": ("ambience", "ambience_id"),
+}
+
+
+def dimension_values(clean: DataFrame, name: str) -> DataFrame:
+    """Businesses that have a value of the dimension."""
+    return clean.filter(F.col("ambience") != NO_AMBIENCE) if name == "ambience" else clean
+
+
+def _dimension(clean: DataFrame, name: str) -> DataFrame:
+    return dimension_with_id(dimension_values(clean, name), *DIMENSIONS[name])
+
+
 def state_dimension(clean: DataFrame) -> DataFrame:
-    return dimension_with_id(clean, "state", "state_id")
+    return _dimension(clean, "state")
 
 
 def category_dimension(clean: DataFrame) -> DataFrame:
-    return dimension_with_id(clean, "restaurant_category", "category_id")
+    return _dimension(clean, "category")
 
 
 def ambience_dimension(clean: DataFrame) -> DataFrame:
-    labelled = clean.filter(F.col("ambience") != NO_AMBIENCE)
-    return dimension_with_id(labelled, "ambience", "ambience_id")
+    return _dimension(clean, "ambience")
 
 
 def user_dimension(users: DataFrame, since: str, as_of_year: int) -> DataFrame:
@@ -172,20 +188,15 @@ def build(
     }
 
 
-DIMENSIONS = {
-    "state": state_dimension,
-    "category": category_dimension,
-    "ambience": ambience_dimension,
-}
-
-
 def refresh(
     spark: SparkSession, source: str, output: str, name: str, *, since: str, as_of_year: int
 ) -> None:
-    """Write one of the five JSON outputs again, reading only what it needs.
+    """Bring one of the five JSON outputs up to date, reading only what it needs.
 
-    The fact takes its ids from the stored dimensions: refresh those first if
-    businesses have changed.
+    Dimensions grow: values that are stored keep their ids, new ones get the
+    next, so a fact written before still points to the right rows. The fact
+    takes its ids from the stored dimensions: refresh those first if businesses
+    have changed.
     """
     if name == "user":
         users = read_json(spark, f"{source}/user.json", user_schema(since))
@@ -194,7 +205,13 @@ def refresh(
     clean = clean_business(read_json(spark, f"{source}/business.json", BUSINESS))
     with intermediates(spark):
         if name in DIMENSIONS:
-            write_json(DIMENSIONS[name](clean), f"{output}/{name}.json")
+            path = f"{output}/{name}.json"
+            if exists(spark, path):
+                stored = read_json(spark, path, review_star(since)[name])
+                known = dimension_values(clean, name)
+                write_json(new_surrogates(stored, known, *DIMENSIONS[name]), path, mode="append")
+            else:
+                write_json(_dimension(clean, name), path)
         elif name == "business_reviews":
             stored = review_star(since)
             state, category, ambience = (

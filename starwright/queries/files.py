@@ -9,8 +9,16 @@ from pyspark.sql import types as T
 from starwright.queries.registry import Tables, query
 from starwright.schemas import schema
 from starwright.sinks.files import write_csv, write_json, write_parquet
+from starwright.sinks.tables import create_database, create_table
 from starwright.sources.files import read_csv, read_json
-from starwright.sources.staging import coerce_to_schema, map_fields
+from starwright.sources.ledger import FileLedger
+from starwright.sources.staging import (
+    create_staging_archive,
+    coerce_to_schema,
+    map_fields,
+    stage_new_files,
+    stage_table,
+)
 from starwright.storage import scratch_dir
 
 
@@ -89,3 +97,47 @@ def recursive_json_scan(t: Tables) -> DataFrame:
 def glob_json_scan(t: Tables) -> DataFrame:
     root, columns = _orders_tree(t)
     return read_json(t.spark, f"{root}/*/*/*.json", columns)
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def json_scan_in_partitions(t: Tables) -> DataFrame:
+    """The tree read into a given number of partitions."""
+    root, columns = _orders_tree(t)
+    return read_json(t.spark, root, columns, recursive=True, partitions=13)
+
+
+def _fresh_database(t: Tables) -> str:
+    location = scratch_dir(t.spark, "db")
+    return create_database(t.spark, "starwright_" + location[-12:], location)
+
+
+@query(
+    """SELECT c_custkey, c_name, CAST(trunc(c_acctbal) AS BIGINT) AS c_acctbal, c_mktsegment
+    FROM customer"""
+)
+def stage_csv_table(t: Tables) -> DataFrame:
+    """CSV staged into a typed table, twice: by position, fractions dropped, rows replaced."""
+    path = scratch_dir(t.spark, "customer-stage")
+    target = schema(c_custkey="long", c_name="varchar", c_acctbal="number", c_mktsegment="varchar")
+    write_csv(t.customer, path, columns=target.names)
+    table = f"{_fresh_database(t)}.customer"
+    create_table(t.spark, table, target)
+    raw = schema(key="text", name="text", balance="text", segment="text")
+    for _ in range(2):
+        stage_table(t.spark, table, path, raw, is_csv=True)
+    return t.spark.table(table).withColumn("c_acctbal", F.col("c_acctbal").cast("long"))
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def stage_files_once(t: Tables) -> DataFrame:
+    """Files come in two deliveries and are looked for three times; each is staged once."""
+    database, path = _fresh_database(t), scratch_dir(t.spark, "orders-deliveries")
+    columns = schema(o_orderkey="long", o_totalprice="double", o_orderstatus="text")
+    table, ledger = f"{database}.orders", FileLedger(t.spark, f"{database}.files")
+    create_staging_archive(t.spark, table, columns)
+    is_open = F.col("o_orderstatus") == "O"
+    for label, rows in (("a", t.orders.filter(is_open)), ("b", t.orders.filter(~is_open)), ("b", None)):
+        if rows is not None:
+            write_json(rows.select(*columns.names), f"{path}/{label}")
+        stage_new_files(t.spark, table, path, columns, ledger, is_json=True)
+    return t.spark.table(table).select(*columns.names)

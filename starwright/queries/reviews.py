@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from starwright.plans import reviews as plan
 from starwright.queries.registry import REGISTRY, Tables, query
+from starwright.schemas import review_star
 from starwright.sinks.files import write_json
 from starwright.sinks.tables import create_database
+from starwright.sources.files import read_json
 from starwright.storage import scratch_dir
 
 SINCE, AS_OF_YEAR = "member_since", 2024
@@ -242,3 +244,33 @@ def review_loaded_categories(t: Tables) -> DataFrame:
 @query(REGISTRY["review_ambiences"].sql)
 def review_loaded_ambiences(t: Tables) -> DataFrame:
     return _plain(_loaded(t)["ambience"])
+
+
+# --- a dimension that grows under a fact ------------------------------------------------
+
+
+@query(
+    f"""WITH {CLEAN_SQL} SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+      || '-' || CAST(l_suppkey AS VARCHAR) AS review_id, clean.state AS state
+    FROM lineitem JOIN clean ON business_id = 'B' || CAST(l_partkey AS VARCHAR)
+    WHERE clean.state > (SELECT min(state) FROM clean)"""
+)
+def review_fact_after_new_state(t: Tables) -> DataFrame:
+    """The first state comes when the fact is written already, and shifts no id in it."""
+
+    def write(path: str) -> None:
+        business = _business(t)
+        first = business.agg(F.min("state")).first()[0]
+        write_json(business.filter(F.col("state") > first), f"{path}/business.json")
+        write_json(_reviews(t), f"{path}/review.json")
+
+    before, output = t.source_files("review-sources-before", write), scratch_dir(t.spark, "review-growth")
+    for name in ("state", "category", "ambience", "business_reviews"):
+        plan.refresh(t.spark, before, output, name, since=SINCE, as_of_year=AS_OF_YEAR)
+    plan.refresh(t.spark, _sources(t), output, "state", since=SINCE, as_of_year=AS_OF_YEAR)
+    stored = review_star(SINCE)
+    fact, states = (
+        read_json(t.spark, f"{output}/{name}.json", stored[name])
+        for name in ("business_reviews", "state")
+    )
+    return fact.join(states, "state_id").select("review_id", "state")

@@ -32,6 +32,8 @@ from starwright.sources.files import LOAD_ORDER
 from starwright.sources.staging import coerce_to_schema, map_fields
 from starwright.storage import scratch_dir, written
 
+#: Buckets of the builds' merge targets: what small tables need.
+FEW = 4
 JANUARY_2024_MS = 1704067200000  # 2024-01-01 00:00:00 UTC
 
 LOG_SQL = f"""log AS (SELECT p_brand AS artist,
@@ -322,8 +324,8 @@ def upsert_users(t: Tables) -> DataFrame:
 def upsert_star_twice(t: Tables) -> DataFrame:
     """The same batch merged twice: keyed tables stay, the fact doubles under new ids."""
     database, sources = _database(t), _sources(t)
-    upserts.build(t.spark, database, *sources)
-    tables = upserts.build(t.spark, database, *sources)
+    upserts.build(t.spark, database, *sources, buckets=FEW)
+    tables = upserts.build(t.spark, database, *sources, buckets=FEW)
     keys = {
         "songplays": "songplay_id", "users": "user_id", "songs": "song_id",
         "artists": "artist_id", "time": "start_time",
@@ -342,7 +344,7 @@ def upsert_star_twice(t: Tables) -> DataFrame:
 @query(UPSERT_USERS_SQL)
 def upsert_star_users(t: Tables) -> DataFrame:
     """Users after a merge in the load order of many files."""
-    users = upserts.build(t.spark, _database(t), *_sources(t))["users"]
+    users = upserts.build(t.spark, _database(t), *_sources(t), buckets=FEW)["users"]
     return _as_plain(users, user_id="long")
 
 
@@ -384,7 +386,9 @@ def _interval_runs(t: Tables) -> dict[str, DataFrame]:
     """The runs of mid-January and of February's start, the second one twice."""
     database, sources = _database(t), _sources(t)
     for execution in (date(2024, 1, 15), date(2024, 2, 1), date(2024, 2, 1)):
-        tables = incremental.run(t.spark, database, *sources, execution, repeatable=True)
+        tables = incremental.run(
+            t.spark, database, *sources, execution, repeatable=True, buckets=FEW
+        )
     return tables
 
 
@@ -406,7 +410,7 @@ def interval_star_time(t: Tables) -> DataFrame:
     """The time dimension of one append run per interval, its month and weekday as text."""
     database, sources = _database(t), _sources(t)
     for execution in (date(2024, 1, 15), date(2024, 2, 1)):
-        tables = incremental.run(t.spark, database, *sources, execution)
+        tables = incremental.run(t.spark, database, *sources, execution, buckets=FEW)
     return _as_plain(tables["time"])
 
 
@@ -512,7 +516,9 @@ def _warehouse(t: Tables) -> dict[str, DataFrame]:
 
 
 def _upserts(t: Tables) -> dict[str, DataFrame]:
-    return t.built("upserts", lambda: upserts.build(t.spark, _database(t), *_sources(t)))
+    return t.built(
+        "upserts", lambda: upserts.build(t.spark, _database(t), *_sources(t), buckets=FEW)
+    )
 
 
 def _intervals(t: Tables) -> dict[str, DataFrame]:

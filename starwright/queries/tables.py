@@ -12,6 +12,7 @@ from starwright.operators.quality import non_empty_check as require_rows
 from starwright.queries.registry import Tables, query
 from starwright.schemas import schema
 from starwright.sinks.files import write_parquet
+from starwright.sinks.merge_targets import contents, create_merge_table
 from starwright.sinks.tables import (
     RUN_COLUMN,
     append,
@@ -31,16 +32,25 @@ from starwright.storage import scratch_dir
 TIMESTAMP = T.TimestampNTZType()
 
 
+def _fresh_database(t: Tables) -> str:
+    location = scratch_dir(t.spark, "db")
+    return create_database(t.spark, "starwright_" + location[-12:], location)
+
+
 def _fresh_table(
     t: Tables, label: str, columns: T.StructType, partition_by: tuple[str, ...] = ()
 ) -> str:
-    location = scratch_dir(t.spark, "db")
-    database = create_database(t.spark, "starwright_" + location[-12:], location)
-    table = f"{database}.{label}"
+    table = f"{_fresh_database(t)}.{label}"
     create_table(t.spark, table, columns, partition_by)
     return table
 
 
+def _fresh_target(t: Tables, label: str, columns: T.StructType, *keys: str, ledger: bool) -> str:
+    table = f"{_fresh_database(t)}.{label}"
+    create_merge_table(t.spark, table, columns, keys, buckets=16, ledger=ledger)
+    return table
+
+
 @query(
     """SELECT o_orderkey AS playid, CAST(extract(month FROM o_orderdate) AS VARCHAR) AS month
     FROM orders"""
@@ -96,14 +106,15 @@ BATCH = "CASE WHEN event_type IN ('view', 'click') THEN 0 ELSE 1 END"
 )
 def upsert_update_two_batches(t: Tables) -> DataFrame:
     """Views and clicks merge first, all else second: first props stay, levels move on."""
-    table = _fresh_table(t, "users", schema(user_id="long", first_props="text", level="text"))
+    columns = schema(user_id="long", first_props="text", level="text")
+    table = _fresh_target(t, "users", columns, "user_id", ledger=False)
     events = t.events.select(
         "user_id", F.col("props").alias("first_props"), F.col("event_type").alias("level"), "event_id"
     )
     first_batch = F.col("level").isin("view", "click")
     for batch in (events.filter(first_batch), events.filter(~first_batch)):
         upsert_update(batch, table, ["user_id"], ["event_id"], ["level"])
-    return t.spark.table(table)
+    return contents(t.spark, table)
 
 
 @query(
@@ -112,11 +123,12 @@ def upsert_update_two_batches(t: Tables) -> DataFrame:
 )
 def upsert_ignore_two_batches(t: Tables) -> DataFrame:
     """Views and clicks go in first; users they bring stay as they are."""
-    table = _fresh_table(t, "users", schema(user_id="long", event_id="long", value="double"))
+    columns = schema(user_id="long", event_id="long", value="double")
+    table = _fresh_target(t, "users", columns, "user_id", ledger=True)
     first_batch = F.col("event_type").isin("view", "click")
     for batch in (t.events.filter(first_batch), t.events.filter(~first_batch)):
         upsert_ignore(batch.select("user_id", "event_id", "value"), table, ["user_id"], ["event_id"])
-    return t.spark.table(table)
+    return contents(t.spark, table)
 
 
 @query(
@@ -124,11 +136,11 @@ def upsert_ignore_two_batches(t: Tables) -> DataFrame:
     count(*) AS last_id FROM orders"""
 )
 def serial_append(t: Tables) -> DataFrame:
-    """Two batches under one run of serial numbers."""
+    """Two batches under one run of serial numbers without gaps."""
     table = _fresh_table(t, "orders", schema(id="long", o_orderkey="long"))
     is_open = F.col("o_orderstatus") == "O"
     for batch in (t.orders.filter(is_open), t.orders.filter(~is_open)):
-        append_with_serial(batch.select("o_orderkey"), table, "id")
+        append_with_serial(batch.select("o_orderkey"), table, "id", gapless=True)
     return t.spark.table(table).agg(
         F.count("id").alias("n_rows"),
         F.countDistinct("id").alias("n_ids"),
@@ -137,6 +149,43 @@ def serial_append(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """SELECT o_orderstatus = 'O' AS is_open, count(*) AS n_rows, count(*) AS n_ids,
+    o_orderstatus = 'O' AS first_ids FROM orders GROUP BY o_orderstatus = 'O'"""
+)
+def serial_blocks(t: Tables) -> DataFrame:
+    """Two batches numbered in one write each; the first one's ids come before the second's."""
+    table = _fresh_table(t, "orders", schema(id="long", o_orderkey="long", is_open="bool"))
+    is_open = F.col("o_orderstatus") == "O"
+    for batch in (t.orders.filter(is_open), t.orders.filter(~is_open)):
+        append_with_serial(batch.select("o_orderkey", is_open), table, "id")
+    ids = t.spark.table(table).groupBy("is_open").agg(
+        F.count("id").alias("n_rows"),
+        F.countDistinct("id").alias("n_ids"),
+        F.max("id").alias("last"),
+        F.min("id").alias("first"),
+    )
+    # One row for each batch, beside the other batch's least id.
+    others = ids.select((~F.col("is_open")).alias("is_open"), F.col("first").alias("other_first"))
+    return ids.join(others, "is_open").select(
+        "is_open", "n_rows", "n_ids", (F.col("last") < F.col("other_first")).alias("first_ids")
+    )
+
+
+@query(
+    """SELECT l_shipdate, count(*) AS n_rows FROM lineitem
+    WHERE l_shipdate >= DATE '1995-03-01' AND l_shipdate < DATE '1995-06-01' GROUP BY l_shipdate"""
+)
+def sort_key_range(t: Tables) -> DataFrame:
+    """Lines loaded in the order of their day; a range of days reads the files that hold it."""
+    columns = schema(l_shipdate=t.lineitem.schema["l_shipdate"].dataType, l_orderkey="long")
+    table = _fresh_table(t, "lines", columns)
+    truncate_load(t.lineitem.select(*columns.names), table, sort_key=["l_shipdate"])
+    day = F.col("l_shipdate")
+    some = t.spark.table(table).filter((day >= F.lit("1995-03-01")) & (day < F.lit("1995-06-01")))
+    return some.groupBy("l_shipdate").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query(
     """SELECT event_id, user_id, ts,
     CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-15' THEN '2024-01-15' ELSE '2024-02-01' END

@@ -13,6 +13,10 @@ _TYPES = {
     "bool": T.BooleanType(),
     "time": T.TimestampType(),
     "number": T.DecimalType(18, 0),
+    # The widths of the warehouse's text columns, which a write checks.
+    "varchar": T.VarcharType(256),
+    "letter": T.CharType(1),
+    "digest": T.VarcharType(32),
 }
 
 
@@ -80,35 +84,35 @@ def user_schema(since: str) -> T.StructType:
 # drop the fraction of what is loaded into them.
 
 WAREHOUSE_EVENTS = schema(
-    artist="text", auth="text", first_name="text", gender="text", item_session="number",
-    last_name="text", length="number", level="text", location="text", method="text",
-    page="text", registration="number", session_id="number", song="text", status="number",
-    ts="time", user_agent="text", user_id="number",
+    artist="varchar", auth="varchar", first_name="varchar", gender="letter", item_session="number",
+    last_name="varchar", length="number", level="varchar", location="varchar", method="varchar",
+    page="varchar", registration="number", session_id="number", song="varchar", status="number",
+    ts="time", user_agent="varchar", user_id="number",
 )
 
 WAREHOUSE_SONGS = schema(
-    num_songs="number", artist_id="text", artist_latitude="number", artist_longitude="number",
-    artist_location="text", artist_name="text", song_id="text", title="text",
+    num_songs="number", artist_id="varchar", artist_latitude="number", artist_longitude="number",
+    artist_location="varchar", artist_name="varchar", song_id="varchar", title="varchar",
     duration="number", year="number",
 )
 
 WAREHOUSE_STAR = {
     "songplays": schema(
-        songplay_id="long", start_time="time", user_id="number", level="text", song_id="text",
-        artist_id="text", session_id="text", location="text", user_agent="text",
+        songplay_id="long", start_time="time", user_id="number", level="varchar", song_id="varchar",
+        artist_id="varchar", session_id="varchar", location="varchar", user_agent="varchar",
     ),
     "users": schema(
-        user_id="number", first_name="text", last_name="text", gender="text", level="text"
+        user_id="number", first_name="varchar", last_name="varchar", gender="varchar", level="varchar"
     ),
     "songs": schema(
-        song_id="text", title="text", artist_id="text", year="number", duration="number"
+        song_id="varchar", title="varchar", artist_id="varchar", year="number", duration="number"
     ),
     "artists": schema(
-        artist_id="text", name="text", location="text", latitude="number", longitude="number"
+        artist_id="varchar", name="varchar", location="varchar", latitude="number", longitude="number"
     ),
     "time": schema(
         start_time="time", hour="number", day="number", week="number", month="number",
-        year="number", weekday="text",
+        year="number", weekday="varchar",
     ),
 }
 
@@ -131,33 +135,33 @@ UPSERT_STAR = {
 }
 
 INCREMENTAL_EVENTS = schema(
-    artist="text", auth="text", firstname="text", gender="text", iteminsession="int",
-    lastname="text", length="number", level="text", location="text", method="text",
-    page="text", registration="number", sessionid="int", song="text", status="int",
-    ts="long", useragent="text", userid="int",
+    artist="varchar", auth="varchar", firstname="varchar", gender="varchar", iteminsession="int",
+    lastname="varchar", length="number", level="varchar", location="varchar", method="varchar",
+    page="varchar", registration="number", sessionid="int", song="varchar", status="int",
+    ts="long", useragent="varchar", userid="int",
 )
 
 INCREMENTAL_SONGS = schema(
-    num_songs="int", artist_id="text", artist_name="text", artist_latitude="number",
-    artist_longitude="number", artist_location="text", song_id="text", title="text",
+    num_songs="int", artist_id="varchar", artist_name="varchar", artist_latitude="number",
+    artist_longitude="number", artist_location="varchar", song_id="varchar", title="varchar",
     duration="number", year="int",
 )
 
 INCREMENTAL_STAR = {
     "songplays": schema(
-        playid="text", start_time="time", userid="int", level="text", songid="text",
-        artistid="text", sessionid="int", location="text", user_agent="text",
+        playid="digest", start_time="time", userid="int", level="varchar", songid="varchar",
+        artistid="varchar", sessionid="int", location="varchar", user_agent="varchar",
     ),
     "users": schema(
-        userid="int", first_name="text", last_name="text", gender="text", level="text"
+        userid="int", first_name="varchar", last_name="varchar", gender="varchar", level="varchar"
     ),
-    "songs": schema(songid="text", title="text", artistid="text", year="int", duration="number"),
+    "songs": schema(songid="varchar", title="varchar", artistid="varchar", year="int", duration="number"),
     "artists": schema(
-        artistid="text", name="text", location="text", latitude="number", longitude="number"
+        artistid="varchar", name="varchar", location="varchar", latitude="number", longitude="number"
     ),
     "time": schema(
-        start_time="time", hour="int", day="int", week="int", month="text", year="int",
-        weekday="text",
+        start_time="time", hour="int", day="int", week="int", month="varchar", year="int",
+        weekday="varchar",
     ),
 }
 

@@ -14,6 +14,7 @@ def laid_out(
     max_files: int | None = None,
     cluster_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    range_by: Sequence[str] = (),
 ) -> DataFrame:
     """Distribute rows for a write.
 
@@ -22,8 +23,19 @@ def laid_out(
     several tasks, so a write makes few files and no task gets a third of the
     data. ``max_files`` repartitions at the end instead of narrowing the stages
     before it, so only the write itself runs with that little parallelism.
+
+    ``range_by`` cuts the rows in the order of these columns by sampled bounds,
+    so that files hold ranges that at most touch, and a range filter skips the
+    files outside it. Rows of one value lie in the order of a hash of all their
+    columns and are cut there too, so that a hot value fills several files. AQE
+    merges only ranges that are next to each other.
     """
     together = [*partition_by, *cluster_by]
+    if range_by:
+        if together or max_files is not None:
+            raise ValueError("ranges exclude partitions, clusters and a number of files")
+        spread = F.xxhash64(*df.columns)
+        return df.repartitionByRange(*range_by, spread).sortWithinPartitions(*range_by, *sort_by)
     if max_files is not None:
         df = df.repartition(max_files)
     elif together:
@@ -40,11 +52,13 @@ def _writer(
     sort_by: Sequence[str],
     keep_partition_columns: bool,
     mode: str,
+    range_by: Sequence[str] = (),
 ) -> DataFrameWriter:
     if keep_partition_columns:
         df = df.withColumns({f"{name}p": F.col(name) for name in partition_by})
         partition_by = [f"{name}p" for name in partition_by]
-    writer = laid_out(df, partition_by, max_files, cluster_by, sort_by).write.mode(mode)
+    rows = laid_out(df, partition_by, max_files, cluster_by, sort_by, range_by)
+    writer = rows.write.mode(mode)
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
@@ -56,17 +70,22 @@ def write_parquet(
     max_files: int | None = None,
     cluster_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    range_by: Sequence[str] = (),
     keep_partition_columns: bool = False,
     mode: str = "overwrite",
 ) -> None:
-    """Parquet files, optionally partitioned, bounded in number, or clustered.
+    """Parquet files, optionally partitioned, bounded in number, clustered, or in ranges.
 
     ``cluster_by`` brings equal values together, sorted by them and then by
     ``sort_by``, with bloom filters that let a lookup by them skip row groups.
+    ``range_by`` gives each file a range of its own of these columns instead,
+    which lets a range of them skip files.
     ``keep_partition_columns`` partitions by copies (``yearp`` for ``year``),
     so that the columns themselves stay in the files.
     """
-    writer = _writer(df, partition_by, max_files, cluster_by, sort_by, keep_partition_columns, mode)
+    writer = _writer(
+        df, partition_by, max_files, cluster_by, sort_by, keep_partition_columns, mode, range_by
+    )
     blooms = {f"parquet.bloom.filter.enabled#{name}": "true" for name in cluster_by}
     writer.options(**blooms).parquet(path)
 

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from starwright.operators.dimensions import numbered
 from starwright.operators.intervals import interval_slice, semimonthly_bounds
 from starwright.operators.merges import merged_rows, rows_to_insert
 from starwright.sinks.files import laid_out
+from starwright.sinks.merge_targets import MergeTarget, ledger_name, merge_target, properties
 from starwright.storage import folders, remove
 
 RUN_COLUMN = "load_until"
@@ -51,6 +52,7 @@ def drop_table(spark: SparkSession, table: str) -> None:
         current = _location(spark, table)
         root = current.split(VERSION)[0] if VERSION in current else None
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {ledger_name(table)}")
     if root:
         remove(spark, root)
         for version in folders(spark, f"{root}{VERSION}*"):
@@ -70,14 +72,28 @@ def positional(df: DataFrame, schema: T.StructType) -> DataFrame:
     return renamed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _insert(df: DataFrame, table: str, overwrite: bool, cluster_by: Sequence[str] = ()) -> None:
+def _insert(
+    df: DataFrame,
+    table: str,
+    overwrite: bool,
+    cluster_by: Sequence[str] = (),
+    sort_key: Sequence[str] = (),
+) -> None:
     rows = positional(df, df.sparkSession.table(table).schema)
-    laid_out(rows, cluster_by=cluster_by).write.insertInto(table, overwrite=overwrite)
+    laid_out(rows, cluster_by=cluster_by, range_by=sort_key).write.insertInto(
+        table, overwrite=overwrite
+    )
 
 
-def truncate_load(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
-    """Replace all rows of a table. The new rows must not come from the table itself."""
-    _insert(df, table, True, cluster_by)
+def truncate_load(
+    df: DataFrame, table: str, cluster_by: Sequence[str] = (), sort_key: Sequence[str] = ()
+) -> None:
+    """Replace all rows of a table. The new rows must not come from the table itself.
+
+    ``cluster_by`` brings equal values together, for lookups; ``sort_key`` gives
+    files ranges that do not overlap, for scans of a range.
+    """
+    _insert(df, table, True, cluster_by, sort_key)
 
 
 def _rows(spark: SparkSession, query: str | DataFrame) -> DataFrame:
@@ -89,9 +105,9 @@ def load_dimension(spark: SparkSession, table: str, query: str | DataFrame) -> N
     truncate_load(_rows(spark, query), table)
 
 
-def append(df: DataFrame, table: str) -> None:
-    """Add rows to a table."""
-    _insert(df, table, False)
+def append(df: DataFrame, table: str, sort_key: Sequence[str] = ()) -> None:
+    """Add rows to a table; with ``sort_key``, in files whose ranges do not overlap."""
+    _insert(df, table, False, sort_key=sort_key)
 
 
 def load_fact_interval(
@@ -142,8 +158,20 @@ def replace_contents(df: DataFrame, table: str, *, keep_previous: bool = True) -
         remove(spark, past)
 
 
+def _merge_target(spark: SparkSession, table: str, keys: Sequence[str]) -> MergeTarget | None:
+    found = merge_target(spark, table)
+    if found is not None and set(found.keys) != set(keys):
+        raise ValueError(f"{table} merges by {found.keys}, not by {list(keys)}")
+    return found
+
+
 def upsert_ignore(new: DataFrame, table: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Insert rows with new keys; on conflict do nothing. Existing files stay as they are."""
+    """Insert rows with new keys; on conflict do nothing. Existing files stay as they are.
+
+    A merge target is asked by its ledger of keys, a plain table by all its keys.
+    """
+    if (merge := _merge_target(new.sparkSession, table, keys)) is not None:
+        return merge.insert_new(new, order)
     target = new.sparkSession.table(table)
     append(rows_to_insert(target, new, keys, order, target.columns), table)
 
@@ -157,14 +185,66 @@ def upsert_update(
     *,
     keep_previous: bool = True,
 ) -> None:
-    """Insert rows with new keys; on conflict set the ``update`` columns."""
+    """Insert rows with new keys; on conflict set the ``update`` columns.
+
+    A merge target rewrites the buckets that the new rows are in, a plain table
+    itself; only there ``keep_previous`` leaves the files before.
+    """
+    if (merge := _merge_target(new.sparkSession, table, keys)) is not None:
+        return merge.update(new, order, update)
     target = new.sparkSession.table(table)
     merged = merged_rows(target, new, keys, order, target.columns, update)
     replace_contents(merged, table, keep_previous=keep_previous)
 
 
-def append_with_serial(df: DataFrame, table: str, serial: str) -> None:
-    """Append rows under gapless ids that go on from the greatest in the table."""
-    last = df.sparkSession.table(table).agg(F.max(serial).alias("last")).first()["last"]
-    rows = numbered(df, serial, (last or 0) + 1)
-    append(rows.select(serial, *df.columns), table)
+#: Table property: the first id that no append has taken or reserved.
+SERIAL_PROPERTY = "starwright.serial.next"
+#: Tasks whose ids of one append lie side by side, and rows that a task may number.
+SERIAL_TASKS = 1 << 17
+SERIAL_ROWS = 1 << 30
+
+
+def _first_free_serial(spark: SparkSession, table: str, serial: str) -> int:
+    """From the table's property; the greatest id is looked for once, in a table that has none yet."""
+    stored = properties(spark, table).get(SERIAL_PROPERTY)
+    if stored is not None:
+        return int(stored)
+    last = spark.table(table).agg(F.max(serial).alias("last")).first()["last"]
+    return (last or 0) + 1
+
+
+def _keep_serial(spark: SparkSession, table: str, free: int) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{SERIAL_PROPERTY}' = '{free}')")
+
+
+def append_with_serial(df: DataFrame, table: str, serial: str, *, gapless: bool = False) -> None:
+    """Append rows under ids of their own, greater than all before, in one write.
+
+    Each task numbers its rows in a block of its own, one id in every
+    ``SERIAL_TASKS``, so nothing is counted before and ids have gaps. The range
+    of ids is reserved in the table's properties before the write and given
+    back but for what the write has used, as the write itself reports; an
+    append that finds the reservation of another one goes on behind it.
+
+    ``gapless`` gives consecutive ids in the order the rows stand in, for which
+    they are written twice.
+    """
+    spark = df.sparkSession
+    start = _first_free_serial(spark, table, serial)
+    reserved = start + SERIAL_TASKS * SERIAL_ROWS
+    _keep_serial(spark, table, reserved)
+    if gapless:
+        rows = numbered(df, serial, start)
+    else:
+        place = F.monotonically_increasing_id()  # partition number above bit 33, place below
+        task, row = F.shiftright(place, 33), place.bitwiseAND(F.lit((1 << 33) - 1))
+        fits = (task < SERIAL_TASKS) & (row < SERIAL_ROWS)
+        own = F.when(fits, F.lit(start) + row * SERIAL_TASKS + task)
+        failed = F.raise_error(F.lit("more tasks or rows than serial blocks")).cast("long")
+        rows = df.withColumn(serial, F.coalesce(own, failed))
+    used = Observation(f"serial-{uuid.uuid4().hex}")
+    rows = rows.select(serial, *df.columns).observe(used, F.max(serial).alias("last"))
+    append(rows, table)
+    if int(properties(spark, table)[SERIAL_PROPERTY]) == reserved:
+        last = used.get["last"]
+        _keep_serial(spark, table, start if last is None else last + 1)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOAD_ORDER = "load_order"
+#: What opening a file counts for, in bytes, where a source is made of very many small ones.
+SMALL_FILE_COST = 64 * 1024
 
 
 def load_order() -> Column:
@@ -25,13 +28,33 @@ def load_order() -> Column:
     ).alias(LOAD_ORDER)
 
 
-def _rendered(path: str, params: Mapping[str, object] | None) -> str:
+def rendered(path: str, params: Mapping[str, object] | None) -> str:
     """The path with each ``{name}`` of a parameter filled in; other braces are globs."""
     for name, value in (params or {}).items():
         path = path.replace("{" + name + "}", str(value))
     return path
 
 
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """Let reads that run meanwhile put many small files into one task.
+
+    Spark fills a task with files up to ``spark.sql.files.maxPartitionBytes``,
+    each counted with its size and a cost of opening it; that cost, 4 MB by
+    default, makes one task of some 30 small files. Here some 2,000 share one,
+    so that a catalog of one file for each entry is read by a bounded number of
+    tasks. Wrap the write that turns such files into columns, as splits are
+    planned when a read runs.
+    """
+    option = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(option)
+    spark.conf.set(option, str(SMALL_FILE_COST))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, before)
+
+
 def _finish(df: DataFrame, with_load_order: bool, partitions: int | None) -> DataFrame:
     if with_load_order:
         df = df.select("*", load_order())
@@ -40,7 +63,7 @@ def _finish(df: DataFrame, with_load_order: bool, partitions: int | None) -> Dat
 
 def read_json(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     schema: T.StructType,
     *,
     recursive: bool = False,
@@ -48,7 +71,7 @@ def read_json(
     with_load_order: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
-    """JSON lines from a file, a directory, a glob, or (recursive) a whole tree.
+    """JSON lines from a file, a directory, a glob, (recursive) a whole tree, or a list of files.
 
     ``params`` fills ``{placeholders}`` in the path from the run's context.
     ``partitions`` asks for a repartitioning of the input.
@@ -56,12 +79,13 @@ def read_json(
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    return _finish(reader.json(_rendered(path, params)), with_load_order, partitions)
+    paths = rendered(path, params) if isinstance(path, str) else list(path)
+    return _finish(reader.json(paths), with_load_order, partitions)
 
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     schema: T.StructType,
     *,
     delimiter: str = ",",
@@ -71,13 +95,13 @@ def read_csv(
     with_load_order: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
-    """All CSV files below a path as one frame, columns by position.
+    """All CSV files below a path, or of a list, as one frame, columns by position.
 
     Quotes inside a quoted field are doubled. ``ignore_headers`` lines are
     skipped at the top of every file; more than one cannot be combined with
     records that span lines or with a load order.
     """
-    path = _rendered(path, params)
+    path = rendered(path, params) if isinstance(path, str) else list(path)
     options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "FAILFAST"}
     if ignore_headers > 1:
         if multiline or with_load_order:
@@ -90,7 +114,7 @@ def read_csv(
     return _finish(frame, with_load_order, partitions)
 
 
-def _lines_after_headers(spark: SparkSession, path: str, headers: int) -> DataFrame:
+def _lines_after_headers(spark: SparkSession, path: str | list[str], headers: int) -> DataFrame:
     """Text lines without the first ``headers`` lines of each file.
 
     Headers stand in the first split of a file, and a task reads a split from

@@ -12,8 +12,14 @@ from pyspark.sql import types as T
 
 from starwright.functions.cleaning import truncate_toward_zero
 from starwright.functions.timeparts import from_epoch_ms
-from starwright.sinks.tables import truncate_load
-from starwright.sources.files import read_csv, read_json
+from starwright.sinks.files import laid_out
+from starwright.sinks.tables import create_table, truncate_load
+from starwright.sources.files import read_csv, read_json, rendered, small_files
+from starwright.sources.ledger import FileLedger, listing
+
+# Partition columns of staging archives.
+BATCH = "staged_batch"
+DAY = "staged_day"
 
 
 def map_fields(df: DataFrame, fields: Sequence[tuple[str, str]]) -> DataFrame:
@@ -41,6 +47,8 @@ def fields_from_jsonpaths(document: str, columns: Sequence[str]) -> list[tuple[s
 
 def _coerced(df: DataFrame, field: T.StructField, width: int | None) -> Column:
     value, source, target = F.col(field.name), df.schema[field.name].dataType, field.dataType
+    if isinstance(target, (T.VarcharType, T.CharType)):  # as wide as it is; a write checks the width
+        target = T.StringType()
     from_text = isinstance(source, T.StringType) and not isinstance(target, T.StringType)
     if from_text:
         value = F.nullif(value, F.lit(""))
@@ -71,11 +79,11 @@ def coerce_to_schema(
     return df.select(*[_coerced(df, field, widths.get(field.name)) for field in target.fields])
 
 
-def stage_table(
+def staged_rows(
     spark: SparkSession,
-    table: str,
-    path: str,
+    path: str | Sequence[str],
     schema: T.StructType,
+    target: T.StructType,
     *,
     is_json: bool = False,
     is_csv: bool = False,
@@ -85,8 +93,8 @@ def stage_table(
     ignore_headers: int = 1,
     recursive: bool = False,
     params: Mapping[str, object] | None = None,
-) -> None:
-    """Replace a staging table's rows by those of JSON or CSV files.
+) -> DataFrame:
+    """Rows of JSON or CSV files as a table of the ``target`` schema takes them.
 
     The files are read under ``schema``, ``fields`` maps them to the table's
     columns (by default same name for JSON, same position for CSV), and values
@@ -100,7 +108,6 @@ def stage_table(
         )
     else:
         raise ValueError("set is_json or is_csv to match the format of the files")
-    target = spark.table(table).schema
     if fields:
         rows = map_fields(rows, fields)
     elif is_json:
@@ -109,4 +116,71 @@ def stage_table(
         rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
     elif is_csv and not is_json:
         rows = rows.toDF(*target.names)
-    truncate_load(coerce_to_schema(rows, target, widths), table)
+    return coerce_to_schema(rows, target, widths)
+
+
+def stage_table(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, **options
+) -> None:
+    """Replace a staging table's rows by those of JSON or CSV files.
+
+    Options are those of ``staged_rows``.
+    """
+    target = spark.table(table).schema
+    with small_files(spark):
+        truncate_load(staged_rows(spark, path, schema, target, **options), table)
+
+
+def create_staging_archive(
+    spark: SparkSession, table: str, schema: T.StructType, day: bool = False
+) -> None:
+    """A staging table that keeps its batches apart, and days within them."""
+    extra = [T.StructField(BATCH, T.StringType())] + [T.StructField(DAY, T.DateType())] * day
+    columns = T.StructType([*schema.fields, *extra])
+    create_table(spark, table, columns, partition_by=[f.name for f in extra])
+
+
+def stage_new_files(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: T.StructType,
+    ledger: FileLedger,
+    *,
+    pattern: str = "*.json",
+    day: Column | None = None,
+    params: Mapping[str, object] | None = None,
+    **options,
+) -> DataFrame:
+    """Add the rows of files that were not staged before to a staging archive.
+
+    Returns the rows added. Each file is read once, whatever runs there are;
+    what a lost run has left of a batch goes first. ``day`` is what rows are
+    kept apart by, so that an interval reads its own days only. Options are
+    those of ``staged_rows``.
+    """
+    for lost in ledger.abandoned(table):
+        drop_batch(spark, table, lost)
+    stored = spark.table(table).schema
+    target = T.StructType([f for f in stored.fields if f.name not in (BATCH, DAY)])
+    found = listing(spark, rendered(path, params), pattern)
+    files = ledger.new_files(table, found)
+    if not files:
+        return spark.table(table).where(F.lit(False)).select(*target.names)
+    batch = ledger.open(table)
+    rows = staged_rows(spark, files, schema, target, **options)
+    extra = {BATCH: F.lit(batch)} | ({DAY: day} if day is not None else {})
+    rows = laid_out(rows.withColumns(extra), list(extra)[1:]).select(*stored.names)
+    with small_files(spark):
+        rows.write.insertInto(table)
+    ledger.close(table, batch, found, files)
+    return spark.table(table).where(F.col(BATCH) == batch).select(*target.names)
+
+
+def drop_batch(spark: SparkSession, table: str, batch: str) -> None:
+    """Remove the rows of a batch from a staging archive."""
+    for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({BATCH} = '{batch}')").collect():
+        parts = dict(part.split("=", 1) for part in row["partition"].split("/"))
+        null = "__HIVE_DEFAULT_PARTITION__"
+        spec = ", ".join(f"{k} = NULL" if v == null else f"{k} = '{v}'" for k, v in parts.items())
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")

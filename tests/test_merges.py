@@ -143,8 +143,8 @@ def test_truncate_load_replaces_and_append_adds(spark, database):
 def test_serial_goes_on(spark, database):
     table = f"{database}.t"
     create_table(spark, table, schema(id="long", v="long"))
-    append_with_serial(spark.range(5).select(F.col("id").alias("v")), table, "id")
-    append_with_serial(spark.range(3).select(F.col("id").alias("v")), table, "id")
+    append_with_serial(spark.range(5).select(F.col("id").alias("v")), table, "id", gapless=True)
+    append_with_serial(spark.range(3).select(F.col("id").alias("v")), table, "id", gapless=True)
     assert sorted(row.id for row in spark.table(table).collect()) == list(range(1, 9))
 
 
