@@ -2,7 +2,9 @@
 
 Whole builds write and read back many tables, so they run once after their
 warm-up. Prints one JSON line; each query's result is consumed in full by a
-``noop`` write.
+``noop`` write. ``calibration`` is the median time of a computation that reads
+nothing, before and after the queries: rounds on machines of other speeds
+compare by it.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import time
 from pathlib import Path
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -61,6 +64,8 @@ BUILDS = [
     "lookup_tables_from_csv",
     "review_warehouse",
 ]
+# Timed as well, but not part of the total that rounds compare.
+OTHERS = ["upsert_ignore_two_batches", "upsert_star_users", "interval_star_facts", "serial_blocks", "sort_key_range"]
 
 
 def main() -> None:
@@ -82,11 +87,25 @@ def main() -> None:
         REGISTRY[name].run(spark, folder).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - started
 
+    def calibration() -> float:
+        times = []
+        for _ in range(4):
+            started = time.perf_counter()
+            hashes = spark.range(0, 200_000_000, 1, int(cpus)).select(F.xxhash64("id").alias("h"))
+            hashes.agg(F.max("h")).collect()
+            times.append(time.perf_counter() - started)
+        return round(statistics.median(times[1:]), 3)
+
+    before = calibration()
     timings = {}
     for names, runs in ((HEADLINE, 3), (BUILDS, 1)):
         for name in names:
             seconds(name)
             timings[name] = round(statistics.median(seconds(name) for _ in range(runs)), 3)
+    others = {}
+    for name in OTHERS:
+        seconds(name)
+        others[name] = round(seconds(name), 3)
     print(
         json.dumps(
             {
@@ -94,6 +113,8 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "others": others,
+                "calibration": [before, calibration()],
                 "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
                 "cpus": int(cpus),
                 "spark": spark.version,

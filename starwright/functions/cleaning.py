@@ -19,10 +19,13 @@ def python_literal(text: Column) -> Column:
     are decoded. Nothing is evaluated.
     """
     trimmed = F.trim(text)
-    quoted = r"""(?s)^[uU]?(['"])(.*)\1$"""
+    # Quoted: one quote, after a "u" or not, that the text also ends with.
+    bare = F.when(F.substring(trimmed, 1, 1).isin("u", "U"), F.substring(trimmed, 2, 1 << 30)).otherwise(trimmed)
+    quote, size = F.substring(bare, 1, 1), F.length(bare)
+    quoted = quote.isin("'", '"') & (size >= 2) & F.endswith(bare, quote)
     number = r"^[-+]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][-+]?[0-9]+)?$"
     return (
-        F.when(trimmed.rlike(quoted), _unescaped(F.regexp_extract(trimmed, quoted, 2)))
+        F.when(quoted, _unescaped(F.substring(bare, F.lit(2), size - 2)))
         .when(trimmed.isin("True", "False"), F.lower(trimmed))
         .when(trimmed.rlike(number), trimmed)
     )

@@ -47,7 +47,7 @@ def _fresh_table(
 
 def _fresh_target(t: Tables, label: str, columns: T.StructType, *keys: str, ledger: bool) -> str:
     table = f"{_fresh_database(t)}.{label}"
-    create_merge_table(t.spark, table, columns, keys, buckets=16, ledger=ledger)
+    create_merge_table(t.spark, table, columns, keys, buckets=4, ledger=ledger)
     return table
 
 

@@ -18,10 +18,11 @@ one row before it meets them, so no bucket is hot.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,7 +53,7 @@ def properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def _set(spark: SparkSession, table: str, name: str, value: str) -> None:
+def set_property(spark: SparkSession, table: str, name: str, value: str) -> None:
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{value}')")
 
 
@@ -126,6 +127,12 @@ class MergeTarget:
         """The buckets of a batch's keys: as many as the table has, at most."""
         return sorted(row[BUCKET] for row in rows.select(self.bucket()).distinct().collect())
 
+    def _kept(self, rows: DataFrame, label: str) -> tuple[DataFrame, list[int]]:
+        """A batch written once, and the buckets of its keys, which the write itself reports."""
+        seen = Observation(f"{label}-{uuid.uuid4().hex}")
+        kept = written(rows.observe(seen, F.collect_set(self.bucket()).alias("buckets")), label)
+        return kept, sorted(seen.get["buckets"])
+
     def typed(self, new: DataFrame) -> DataFrame:
         """The new rows with key columns of the target's types, so that equal keys hash alike."""
         casts = {k: F.col(k).cast(self.schema[k].dataType) for k in self.keys}
@@ -142,15 +149,15 @@ class MergeTarget:
         """Write the ledger anew from the keys of the target."""
         keys = self.digests(self.rows().select(*self.keys)).distinct()
         laid_out(keys, [BUCKET]).write.insertInto(ledger_name(self.table), overwrite=True)
-        _set(self.spark, self.table, LEDGER_PROPERTY, "yes")
+        set_property(self.spark, self.table, LEDGER_PROPERTY, "yes")
         self.ledger_state = "yes"
 
     @contextmanager
     def _both(self) -> Iterator[None]:
         """Target and ledger change together, or the next batch restores the ledger."""
-        _set(self.spark, self.table, LEDGER_PROPERTY, "writing")
+        set_property(self.spark, self.table, LEDGER_PROPERTY, "writing")
         yield
-        _set(self.spark, self.table, LEDGER_PROPERTY, "yes")
+        set_property(self.spark, self.table, LEDGER_PROPERTY, "yes")
 
     def _append(self, rows: DataFrame) -> None:
         laid_out(rows.select(*self.schema.names, self.bucket()), [BUCKET]).write.insertInto(self.table)
@@ -167,8 +174,7 @@ class MergeTarget:
             first = rows.select(*self.schema.names).distinct()
         else:
             first = first_per_key(rows, self.keys, order, self.schema.names)
-        first = written(first, "merge-batch")
-        touched = self.touched(first)
+        first, touched = self._kept(first, "merge-batch")
         if not touched:
             return
         if self.ledger_state is None:
@@ -187,8 +193,7 @@ class MergeTarget:
         rows = self.typed(new)
         if self.ledger_state == "writing":
             self.restore_ledger()
-        rows = written(rows, "merge-batch")
-        touched = self.touched(rows)
+        rows, touched = self._kept(rows, "merge-batch")
         if not touched:
             return
         merged = merged_rows(self.rows(touched), rows, self.keys, order, self.schema.names, columns)

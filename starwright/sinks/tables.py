@@ -17,7 +17,13 @@ from starwright.operators.dimensions import numbered
 from starwright.operators.intervals import interval_slice, semimonthly_bounds
 from starwright.operators.merges import merged_rows, rows_to_insert
 from starwright.sinks.files import laid_out
-from starwright.sinks.merge_targets import MergeTarget, ledger_name, merge_target, properties
+from starwright.sinks.merge_targets import (
+    MergeTarget,
+    ledger_name,
+    merge_target,
+    properties,
+    set_property,
+)
 from starwright.storage import folders, remove
 
 RUN_COLUMN = "load_until"
@@ -213,10 +219,6 @@ def _first_free_serial(spark: SparkSession, table: str, serial: str) -> int:
     return (last or 0) + 1
 
 
-def _keep_serial(spark: SparkSession, table: str, free: int) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{SERIAL_PROPERTY}' = '{free}')")
-
-
 def append_with_serial(df: DataFrame, table: str, serial: str, *, gapless: bool = False) -> None:
     """Append rows under ids of their own, greater than all before, in one write.
 
@@ -232,7 +234,7 @@ def append_with_serial(df: DataFrame, table: str, serial: str, *, gapless: bool
     spark = df.sparkSession
     start = _first_free_serial(spark, table, serial)
     reserved = start + SERIAL_TASKS * SERIAL_ROWS
-    _keep_serial(spark, table, reserved)
+    set_property(spark, table, SERIAL_PROPERTY, str(reserved))
     if gapless:
         rows = numbered(df, serial, start)
     else:
@@ -247,4 +249,4 @@ def append_with_serial(df: DataFrame, table: str, serial: str, *, gapless: bool
     append(rows, table)
     if int(properties(spark, table)[SERIAL_PROPERTY]) == reserved:
         last = used.get["last"]
-        _keep_serial(spark, table, start if last is None else last + 1)
+        set_property(spark, table, SERIAL_PROPERTY, str(start if last is None else last + 1))

@@ -151,29 +151,28 @@ def stage_new_files(
     day: Column | None = None,
     params: Mapping[str, object] | None = None,
     **options,
-) -> DataFrame:
+) -> DataFrame | None:
     """Add the rows of files that were not staged before to a staging archive.
 
-    Returns the rows added. Each file is read once, whatever runs there are;
+    Returns the rows added, or None if there are no new files. Each file is read once, whatever runs there are;
     what a lost run has left of a batch goes first. ``day`` is what rows are
     kept apart by, so that an interval reads its own days only. Options are
     those of ``staged_rows``.
     """
-    for lost in ledger.abandoned(table):
+    if (lost := ledger.abandoned(table)) is not None:
         drop_batch(spark, table, lost)
     stored = spark.table(table).schema
     target = T.StructType([f for f in stored.fields if f.name not in (BATCH, DAY)])
-    found = listing(spark, rendered(path, params), pattern)
-    files = ledger.new_files(table, found)
+    files = ledger.new_files(table, listing(spark, rendered(path, params), pattern))
     if not files:
-        return spark.table(table).where(F.lit(False)).select(*target.names)
+        return None
     batch = ledger.open(table)
-    rows = staged_rows(spark, files, schema, target, **options)
+    rows = staged_rows(spark, [f["path"] for f in files], schema, target, **options)
     extra = {BATCH: F.lit(batch)} | ({DAY: day} if day is not None else {})
     rows = laid_out(rows.withColumns(extra), list(extra)[1:]).select(*stored.names)
     with small_files(spark):
         rows.write.insertInto(table)
-    ledger.close(table, batch, found, files)
+    ledger.close(table, batch, files)
     return spark.table(table).where(F.col(BATCH) == batch).select(*target.names)
 
 

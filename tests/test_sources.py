@@ -157,10 +157,10 @@ def test_stage_table(spark, database, tmp_path):
 
 
 def test_only_named_placeholders_are_filled():
-    from starwright.sources.files import _rendered
+    from starwright.sources.files import rendered
 
-    assert _rendered("logs/{year}/{a,b}*.json", {"year": 2018}) == "logs/2018/{a,b}*.json"
-    assert _rendered("logs/{year}", None) == "logs/{year}"
+    assert rendered("logs/{year}/{a,b}*.json", {"year": 2018}) == "logs/2018/{a,b}*.json"
+    assert rendered("logs/{year}", None) == "logs/{year}"
 
 
 def test_json_load_fills_absent_fields_with_null(spark, database, tmp_path):
