@@ -44,14 +44,14 @@ NEVER = 1 << 60
 SHIFT = 32
 #: A node of the tree and a label in one integer; all bits of the label set: none.
 NODE, NODE_LOW = 24, (1 << 24) - 1
-#: States of the byte automaton that a worker keeps: 16 MB of next states.
-MOST_STATES = 1 << 14
+#: States of the byte automaton that a worker keeps: 32 MB of next states.
+MOST_STATES = 1 << 15
 #: Steps beside a full table before it is begun anew.
 MOST_BESIDE = 1 << 21
-#: Pairs of labels whose arc a worker keeps: some 10 MB.
-MOST_ARCS = 1 << 16
-#: Words whose ids a worker keeps, and the longest of them: some 30 MB.
-MOST_WORDS = 1 << 17
+#: Pairs of labels whose arc a worker keeps: some 25 MB.
+MOST_ARCS = 1 << 18
+#: Words whose ids a worker keeps, and the longest of them: some 50 MB.
+MOST_WORDS = 1 << 18
 LONGEST_KEPT = 32
 #: No label: the start of a word.
 START = -1
@@ -142,7 +142,7 @@ class Compiled:
 class Automaton:
     """The byte automaton over a compiled one: states, next states and words met.
 
-    What it keeps for the texts to come is bounded, 60 MB or so, and belongs to
+    What it keeps for the texts to come is bounded, some 120 MB, and belongs to
     the worker, not to a task.
     """
 
