@@ -113,6 +113,64 @@ def test_embeddings_against_brute_force(spark):
     assert embedding_dedup.duplicates(frame.limit(0)).count() == 0
 
 
+def linked_pairs(rows):
+    """(links of each row, least id reachable) by comparing all rows."""
+    unit = {}
+    for i, (_, v, label) in enumerate(rows):
+        x = np.array(v, float)
+        unit[i] = x / np.linalg.norm(x)
+    near = {i: [j for j in unit if j != i and rows[i][2] == rows[j][2] and unit[i] @ unit[j] >= 0.93 + 1e-12] for i in unit}
+    out = []
+    for i in unit:
+        seen, todo = {i}, [i]
+        while todo:
+            todo += [j for j in near[todo.pop()] if j not in seen and not seen.add(j)]
+        out.append((rows[i][0], len(near[i]), min(rows[j][0] for j in seen)))
+    return sorted(out)
+
+
+def test_small_tables_of_embeddings_lose_no_link_and_repeated_ids_give_one_row_each(spark):
+    prepare(spark)
+    rng = np.random.default_rng(6)
+    rows = []
+    for label in range(60):
+        centres = rng.normal(size=(3, 4))
+        for i in range(rng.integers(4, 17)):
+            rows.append((int(rng.integers(0, 400)), (centres[i % 3] + rng.normal(size=4) * 0.2).tolist(), label))
+    axes = [(1, [1, 0, 0, 0]), (1, [0, 1, 0, 0]), (2, [1, 0, 0, 0.001]), (2, [0, 0, 1, 0]), (2, [0, 0, 0, 0]), (3, [1, 0, 0, 0])]
+    rows += [(i, [float(c) for c in v], 99) for i, v in axes]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.duplicates(frame).collect()
+    valid = [r for r in rows if any(r[1])]
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == sorted([*linked_pairs(valid), (2, 0, 2)])
+
+
+def test_traversal_visits_cells_in_order():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        a, b = np.sort(rng.random(rng.integers(1, 9))), np.sort(rng.random(rng.integers(1, 9)))
+        sums = sorted(x + y for x in a for y in b)
+        got = embedding_dedup._traversal(a.tolist(), b.tolist(), 12)
+        assert len(set(got)) == len(got) == min(12, len(sums))
+        assert np.allclose([a[i] + b[j] for i, j in got], sums[: len(got)])
+
+
+def test_large_tables_visit_some_cells_and_keep_the_recall(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", 300)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(300, 32))
+    x = np.repeat(centres, 6, 0) + rng.normal(size=(1800, 32)) * 0.22
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    books, number = embedding_dedup._fit(embedding_dedup._unit(x[:300]), 1800, np.random.default_rng(1))
+    assert number < len(books[0]) * len(books[1])
+    want = {i: n for i, n, _ in linked_pairs(rows)}
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.duplicates(frame).collect()}
+    assert all(got[i] <= want[i] for i in want)
+    assert sum(got.values()) >= 0.97 * sum(want.values()) > 0
+
+
 def test_revisits(spark):
     rows = [
         (1, "http://www.A.org/x/?utm_source=q#f", 10, False, {"etag": "t", "date": "1", "content-type": "h"}),
@@ -175,6 +233,63 @@ def test_full_licence_texts_inside_other_text(docs):
     assert {(i, name) for i, name in enumerate(names)} <= got
 
 
+def test_pipeline_stages_leave_other_columns_alone(spark):
+    """Columns with names that the operators use, null and repeated ids, repeated rows."""
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    odd = ("score", "_spoken", "lang_pred", "_quality", "_id", "_h", "h", "id", "component_id", "_key", "part", "_part", "n")
+    base = frame.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in odd})
+    spoken = frame.where("lang = 'en'").first()["text"]
+    extra = [(7001, spoken), (7001, "words of another kind " * 40), (None, spoken), (None, None), (None, None), (7002, "")]
+    others = spark.createDataFrame(extra, "doc_id long, text string").withColumns({c: F.lit(c) for c in odd})
+    docs = base.unionByName(others, allowMissingColumns=True)
+    whole = sorted(map(str, docs.collect()))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, FOLDER)
+        assert kept.columns == docs.columns, name
+        rows = sorted(map(str, kept.collect()))
+        assert rows and set(rows) <= set(whole), name
+
+
+def test_one_document_of_each_group_stays(docs, spark):
+    """By brute force over rows: equal ids join nothing, null ids are compared, wordless texts stay."""
+    rng = random.Random(2)
+    text = lambda: " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(90))
+    first, second, third = text(), text(), text()
+    near = first.replace(first.split()[40], "changed", 1)
+    rows = [(7, first), (7, second), (7, third), (8, near), (9, first), (None, second), (None, second), (None, third + " more"), (None, None), (7, None), (3, ""), (3, "")]
+    rows += [(9, first), (10, text())]
+    frame = docs(rows).withColumn("place", F.monotonically_increasing_id())
+    kept = corpus_pipeline.near_duplicates(spark, frame, FOLDER).collect()
+
+    def shingles(x):
+        words = (x or "").split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            x, y = shingles(rows[i][1]), shingles(rows[j][1])
+            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                group = [group[j] if g == group[i] else g for g in group]
+    found = sorted((r["text"] or "") for r in kept)
+    assert len(kept) == len(set(group))
+    for g in set(group):
+        texts = {rows[i][1] or "" for i in range(len(rows)) if group[i] == g}
+        assert any(t in texts for t in found)
+    assert {(r["doc_id"], r["text"]) for r in kept if r["text"]} >= {(7, second), (10, rows[-1][1])}
+
+
+def test_the_run_leaves_no_intermediates(spark):
+    """What a run writes to the shared folder is gone but for what its result reads."""
+    from starwright.storage import folders, shared_root
+
+    before = set(folders(spark, f"{shared_root(spark)}/starwright/*"))
+    result = corpus_pipeline.run(spark, FOLDER)
+    assert result.count() > 0
+    left = {f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in set(folders(spark, f"{shared_root(spark)}/starwright/*")) - before}
+    assert left <= {"pipeline-benchmark-decontamination"}
+
+
 def test_pipeline_stages_keep_columns_and_take_effect(spark):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = [frame.count()]
