@@ -142,8 +142,8 @@ class Compiled:
 class Automaton:
     """The byte automaton over a compiled one: states, next states and words met.
 
-    What it keeps for the texts to come is bounded, some 120 MB, and belongs to
-    the worker, not to a task.
+    What it keeps for the texts to come is bounded, some 120 MB, and goes when a
+    task ends; the compiled arrays stay with the worker.
     """
 
     def __init__(self, compiled: Compiled):
@@ -356,6 +356,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", i
             if width == 2:
                 out = [narrowed(x) for x in out]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*others, ids])
+        automaton.forget()  # the worker goes on to other tasks
 
     return docs.mapInArrow(apply, f"{fields}, `{ids}` binary")
 
@@ -397,6 +398,7 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None, text: str = "text
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names=[*others, "ids", "decoded"]
             )
+        automaton.forget()  # the worker goes on to other tasks
 
     coded = docs.mapInArrow(apply, f"{fields}, ids binary, decoded string")
     return coded.withColumns(
