@@ -126,7 +126,7 @@ def test_language_sample_with_one_key_for_all(docs):
 
 def test_words_before_a_mark_are_spelled_as_a_whole():
     """Letters and a closing mark spelled apart give the classes of the word spelled at once."""
-    automaton = bpe.parse(Path(bpe.default_vocabulary()).read_text(encoding="utf-8"))
+    automaton = bpe.Automaton(bpe.parse(Path(bpe.default_vocabulary()).read_text(encoding="utf-8")))
     steps, lm_scoring.STEPS = lm_scoring.STEPS, 2
     try:
         model = lm_scoring.fit([[automaton.spell(b"the"), automaton.spell(b"cat.")] * 20], len(automaton.label))
