@@ -111,6 +111,11 @@ class MergeTarget:
         stored = self.spark.table(table)
         return stored if touched is None else stored.where(F.col(BUCKET).isin(*touched))
 
+    def _stored(self, table: str, touched: Sequence[int]) -> list[int]:
+        """Those of the buckets that the table has, by its catalog entry."""
+        listed = self.spark.sql(f"SHOW PARTITIONS {table}").collect()
+        return sorted({int(row["partition"].split("=")[1]) for row in listed} & set(touched))
+
     def _hash(self, seed: int) -> Column:
         """A hash of the key; which columns are null is part of it."""
         keys = [F.col(k) for k in self.keys]
@@ -181,7 +186,8 @@ class MergeTarget:
             known = self.rows(touched).select(*self.keys)
             self._append(first.join(known, self.keys, "left_anti"))
             return
-        fresh = written(self.unknown(first, touched), "merge-fresh")
+        held = self._stored(ledger_name(self.table), touched)
+        fresh = written(self.unknown(first, held), "merge-fresh") if held else first
         with self._both():
             self._append(fresh)
             self._note(fresh)
@@ -196,7 +202,9 @@ class MergeTarget:
         rows, touched = self._kept(rows, "merge-batch")
         if not touched:
             return
-        merged = merged_rows(self.rows(touched), rows, self.keys, order, self.schema.names, columns)
+        held = self._stored(self.table, touched)
+        before = self.rows(held) if held else None
+        merged = merged_rows(before, rows, self.keys, order, self.schema.names, columns)
         if self.ledger_state is None:
             self._replace(merged)
             return
