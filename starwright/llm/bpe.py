@@ -29,9 +29,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import pickle
 import re
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -298,14 +300,19 @@ def parse(definition: str) -> Compiled:
     return Compiled(vocabulary, [(raw(a), raw(b)) for a, b in merges], special)
 
 
+@lru_cache(maxsize=2)
+def _packed(path: str, modified: int) -> tuple[bytes, int]:
+    """A compiled tokenizer file, as bytes, and its number of ids; the driver compiles a file once."""
+    with open(path, encoding="utf-8") as file:  # a vocabulary file installed with the driver
+        compiled = parse(file.read())
+    return pickle.dumps(compiled, pickle.HIGHEST_PROTOCOL), len(compiled.labels)
+
+
 class Definition:
     """A tokenizer file, compiled on the driver and sent to the workers as arrays."""
 
     def __init__(self, spark, path: str):
-        with open(path, encoding="utf-8") as file:  # a vocabulary file installed with the driver
-            compiled = parse(file.read())
-        self.n_ids = len(compiled.labels)
-        packed = pickle.dumps(compiled, pickle.HIGHEST_PROTOCOL)
+        packed, self.n_ids = _packed(path, os.stat(path).st_mtime_ns)
         self.digest = hashlib.sha256(packed).hexdigest()
         self.holder = spark.sparkContext.broadcast(packed)
 
