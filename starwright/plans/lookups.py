@@ -55,7 +55,7 @@ def build(spark: SparkSession, csv_path: str, output: str) -> dict[str, DataFram
     with intermediates(spark):
         log = with_artist(read_csv(spark, csv_path, ACTIVITY_CSV, with_load_order=True))
         kept = written(log.select(*ACTIVITY_CSV_KEPT, LOAD_ORDER), "events")
-        write_csv(kept, f"{output}/events_csv", columns=ACTIVITY_CSV_KEPT)
+        write_csv(kept, f"{output}/events_csv", columns=ACTIVITY_CSV_KEPT, compression="gzip")
         rows = typed(kept)
         for name, (partition_key, clustering_key, columns) in TABLES.items():
             key = [*partition_key, *clustering_key]
