@@ -42,7 +42,7 @@ FILES = {
     "state": "state", "category": "category", "ambience": "ambience", "users": "user",
     "business_reviews": "business_reviews",
 }
-BY_YEAR = {"partition_by": ["year"], "keep_partition_columns": True}
+BY_YEAR = {"partition_by": ["year"], "keep_partition_columns": True, "compression": "gzip"}
 BOOLEAN_ATTRIBUTES = {
     "take_credit_cards": "BusinessAcceptsCreditCards",
     "good_for_kids": "GoodForKids",

@@ -5,6 +5,8 @@ Parts stand for businesses, order lines for reviews, customers for users.
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,13 +163,13 @@ def review_users(t: Tables) -> DataFrame:
     return plan.user_dimension(_users(t), SINCE, AS_OF_YEAR)
 
 
-def _sources(t: Tables) -> str:
-    """Businesses, reviews and users as JSON files."""
+def _sources(t: Tables) -> AbstractContextManager[str]:
+    """Businesses, reviews and users as compressed JSON files."""
 
     def write(path: str) -> None:
-        write_json(_business(t), f"{path}/business.json")
-        write_json(_reviews(t), f"{path}/review.json")
-        write_json(_users(t), f"{path}/user.json")
+        write_json(_business(t), f"{path}/business.json", compression="gzip")
+        write_json(_reviews(t), f"{path}/review.json", compression="gzip")
+        write_json(_users(t), f"{path}/user.json", compression="gzip")
 
     return t.source_files("review-sources", write)
 
@@ -189,9 +191,9 @@ def _sources(t: Tables) -> str:
 )
 def review_warehouse(t: Tables) -> DataFrame:
     """The whole build from JSON documents; the fact read back from its files."""
-    source = _sources(t)
     output = scratch_dir(t.spark, "review-warehouse")
-    tables = plan.build(t.spark, source, output, since=SINCE, as_of_year=AS_OF_YEAR)
+    with _sources(t) as source:
+        tables = plan.build(t.spark, source, output, since=SINCE, as_of_year=AS_OF_YEAR)
     return tables["business_reviews"]
 
 
@@ -200,16 +202,13 @@ def review_warehouse(t: Tables) -> DataFrame:
 
 def _loaded(t: Tables) -> dict[str, DataFrame]:
     """Every output built by a run of its own, dimensions first, and loaded into typed tables."""
-
-    def build() -> dict[str, DataFrame]:
-        source, output = _sources(t), scratch_dir(t.spark, "review-tasks")
+    output = scratch_dir(t.spark, "review-tasks")
+    with _sources(t) as source:
         for name in ("state", "category", "ambience", "user", "business_reviews"):
             plan.refresh(t.spark, source, output, name, since=SINCE, as_of_year=AS_OF_YEAR)
-        location = scratch_dir(t.spark, "db")
-        database = create_database(t.spark, "starwright_" + location[-12:], location)
-        return plan.load(t.spark, database, output, since=SINCE)
-
-    return t.built("review-tables", build)
+    location = scratch_dir(t.spark, "db")
+    database = create_database(t.spark, "starwright_" + location[-12:], location)
+    return plan.load(t.spark, database, output, since=SINCE)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -261,13 +260,17 @@ def review_fact_after_new_state(t: Tables) -> DataFrame:
     def write(path: str) -> None:
         business = _business(t)
         first = business.agg(F.min("state")).first()[0]
-        write_json(business.filter(F.col("state") > first), f"{path}/business.json")
-        write_json(_reviews(t), f"{path}/review.json")
-
-    before, output = t.source_files("review-sources-before", write), scratch_dir(t.spark, "review-growth")
-    for name in ("state", "category", "ambience", "business_reviews"):
-        plan.refresh(t.spark, before, output, name, since=SINCE, as_of_year=AS_OF_YEAR)
-    plan.refresh(t.spark, _sources(t), output, "state", since=SINCE, as_of_year=AS_OF_YEAR)
+        write_json(
+            business.filter(F.col("state") > first), f"{path}/business.json", compression="gzip"
+        )
+        write_json(_reviews(t), f"{path}/review.json", compression="gzip")
+
+    output = scratch_dir(t.spark, "review-growth")
+    with t.source_files("review-sources-before", write) as before:
+        for name in ("state", "category", "ambience", "business_reviews"):
+            plan.refresh(t.spark, before, output, name, since=SINCE, as_of_year=AS_OF_YEAR)
+    with _sources(t) as source:
+        plan.refresh(t.spark, source, output, "state", since=SINCE, as_of_year=AS_OF_YEAR)
     stored = review_star(SINCE)
     fact, states = (
         read_json(t.spark, f"{output}/{name}.json", stored[name])
