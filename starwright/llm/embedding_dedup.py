@@ -10,8 +10,8 @@ cosine in double precision.
 The codebooks and the number of visits are fitted on at most ``SAMPLE`` vectors
 of a dimension, for made neighbours at the threshold and for those that the
 sample itself holds; every vector is indexed and visits. The codebooks grow with
-the number of vectors, and where there are no more than ``SAMPLE``, every cell is
-visited. Equal vectors of a label are one class. A cell of one label is dealt out
+the number of vectors. One rule gives the visits of all tables: all links within
+the sample are met, so where it is the table none is lost. Equal vectors of a label are one class. A cell of one label is dealt out
 in blocks of ``BLOCK`` members against ``BLOCK`` visitors, each a task's matrix
 product whose links are summed and contracted there, so a hot cell is split and
 its pairs are never listed.
@@ -103,37 +103,48 @@ def _visits(x: np.ndarray, books: Books, number: int) -> np.ndarray:
     return out
 
 
-def _ranks(x: np.ndarray, near: np.ndarray, books: Books) -> np.ndarray:
-    """How many cells a row of ``x`` visits before that of its neighbour in ``near``."""
-    half = books[0].shape[1]
-    grid = _distances(x[:, :half], books[0])[:, :, None] + _distances(x[:, half:], books[1])[:, None, :]
-    grid = grid.reshape(len(x), -1)
-    return (grid < grid[np.arange(len(x)), _homes(near, books)][:, None]).sum(1)
+#: Distances, of rows to cells, that the driver holds at once.
+GRID = 1 << 22
+#: What distances and cosines that are computed in other batches may differ by.
+ROUNDING = 1e-9
+
+
+def _ranks(x: np.ndarray, books: Books, homes: np.ndarray, links) -> np.ndarray:
+    """For each row of ``x``, how many cells it visits until it has seen those of all its neighbours.
+
+    ``links`` gives, for a slice of the rows, which of the vectors of the cells ``homes`` are
+    neighbours. Rows without any are left out.
+    """
+    half, out = books[0].shape[1], []
+    step = max(1, GRID // max(len(books[0]) * len(books[1]), len(homes)))
+    for i in range(0, len(x), step):
+        part = x[i : i + step]
+        grid = _distances(part[:, :half], books[0])[:, :, None] + _distances(part[:, half:], books[1])[:, None, :]
+        grid = grid.reshape(len(part), -1)
+        near = links(slice(i, i + step))
+        farthest = np.where(near, grid[:, homes], -np.inf).max(1, initial=-np.inf)
+        out.append((grid <= farthest[:, None] + ROUNDING).sum(1)[near.any(1)])
+    return np.concatenate([np.zeros(0, np.int64), *out])
 
 
 def _fit(x: np.ndarray, number: int, rng: np.random.Generator) -> tuple[Books, int]:
     """Codebooks of both halves for ``number`` vectors, of which ``x`` is a sample, and how many cells to visit.
 
-    So many hold the neighbours at the threshold of all but a few rows, both of
-    neighbours that are made and of those among the sample; all, if the sample
-    is the table.
+    So many that every row of the sample meets all its neighbours there, and all but a few rows
+    one that is made at the threshold. Where the sample is the table, no link is lost.
     """
     half = x.shape[1] // 2
     wanted = min(max(CODES, int(np.ceil(np.sqrt(number / CELL)))), max(CODES, len(x) // PER_CODE))
     books = (_codebook(x[:, :half], wanted, rng), _codebook(x[:, half:], wanted, rng))
-    cells = len(books[0]) * len(books[1])
-    if number <= SAMPLE:
-        return books, cells
     noise = rng.normal(size=x.shape)
     noise -= (noise * x).sum(1, keepdims=True) * x
     noise /= np.maximum(np.sqrt((noise * noise).sum(1, keepdims=True)), 1e-12)
     made = LEAST_COSINE * x + np.sqrt(1 - LEAST_COSINE**2) * noise
-    i, j = np.nonzero(np.triu(x @ x.T >= LEAST_COSINE, 1))
-    if len(i) > len(x):
-        pick = rng.choice(len(i), len(x), replace=False)
-        i, j = i[pick], j[pick]
-    needed = [np.quantile(_ranks(a, b, books), TARGET_RECALL) for a, b in ((x, made), (x[i], x[j]), (x[j], x[i])) if len(a)]
-    return books, int(min(cells, max(needed) + 1))
+    place = np.arange(len(x))
+    to_made = _ranks(x, books, _homes(made, books), lambda rows: place[rows, None] == place)
+    to_found = _ranks(x, books, _homes(x, books), lambda rows: x[rows] @ x.T >= LEAST_COSINE - ROUNDING)
+    needed = max(float(np.quantile(to_made, TARGET_RECALL)), float(to_found.max()))
+    return books, int(min(len(books[0]) * len(books[1]), np.ceil(needed)))
 
 
 def _classes(rows: DataFrame) -> DataFrame:
