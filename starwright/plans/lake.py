@@ -53,7 +53,7 @@ def time(played: DataFrame) -> DataFrame:
 
 def songplays(played: DataFrame, catalog: DataFrame) -> DataFrame:
     """Plays of songs the catalog knows."""
-    matched = match_inner(played, catalog, SONG_MATCH, ["song_id", "artist_id"])
+    matched = match_inner(played, catalog, SONG_MATCH, ["song_id", "artist_id"], together=True)
     return matched.select(
         "timestamp", "userId", "level", "song_id", "artist_id", "sessionId", "location",
         "userAgent", F.year("timestamp").alias("year"), F.month("timestamp").alias("month"),
@@ -87,7 +87,7 @@ def build(
             "artists": (artists(catalog), small),
             "users": (users(played), small),
             "time": (time(played), by_month),
-            "songplays": (songplays(played, catalog), by_month),
+            "songplays": (songplays(played, catalog), {**by_month, "in_place": True}),
         }
         for name, (table, layout) in tables.items():
             write_parquet(table, f"{output}/{name}", **layout)
