@@ -194,22 +194,26 @@ def fit(sample: DataFrame) -> FactorModel | None:
             )
 
     schema = "bucket array<int>, value array<float>, structure array<double>, label int"
-    got = sample.mapInArrow(compute, schema).toArrow().to_pydict()
-    if not got["label"]:
+    got = sample.mapInArrow(compute, schema).toArrow().combine_chunks()
+    if not got.num_rows:
         return None
+    # Straight from Arrow's buffers: as Python objects they would fill the driver.
+    flat = lambda name: got.column(name).combine_chunks()
+    bucket, value, label = flat("bucket"), flat("value"), flat("label").to_numpy(zero_copy_only=False)
     f = Features(
-        np.concatenate([[0], np.cumsum([len(x) for x in got["bucket"]])]),
-        np.concatenate([np.zeros(0, np.int64), *[np.array(x, np.int64) for x in got["bucket"]]]),
-        np.concatenate([np.zeros(0), *[np.array(x) for x in got["value"]]]),
-        np.array(got["structure"]),
+        np.concatenate([[0], np.cumsum(bucket.value_lengths().to_numpy())]),
+        bucket.flatten().to_numpy().astype(np.int64),
+        value.flatten().to_numpy().astype(np.float64),
+        flat("structure").flatten().to_numpy().reshape(got.num_rows, -1),
     )
+    del got, bucket, value
     # A fixed order of rows, so that the same sample gives the same model wherever it ran.
     keys = np.lexsort((f.structure[:, 0], f.structure[:, 7], f.start[1:] - f.start[:-1]))
     sizes = (f.start[1:] - f.start[:-1])[keys]
     start = np.concatenate([[0], np.cumsum(sizes)])
     at = np.arange(start[-1]) + np.repeat(f.start[:-1][keys] - start[:-1], sizes)
     ordered = Features(start, f.bucket[at], f.value[at], f.structure[keys])
-    return train(ordered, (np.array(got["label"])[keys] > 0).astype(float))
+    return train(ordered, (label[keys] > 0).astype(float))
 
 
 def score(docs: DataFrame, model: FactorModel | None, text: str = "text", name: str = "score") -> DataFrame:
